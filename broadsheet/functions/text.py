@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The letters that survive cleaning, and how many keywords a text keeps.
@@ -28,6 +28,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and projections read instead of recompute.
+
+    Catalyst pushes a filter on a computed column below the projection by copying the
+    expression into it. A one-element explode is a step the copy cannot pass, while
+    filters on other columns still move below it. A column of that name is replaced.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode(F.array(value)).alias(name))
+
+
 def strip_space(text: Column) -> Column:
     """Strip every kind of white space at both ends (``trim`` knows only the blank)."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

@@ -15,7 +15,7 @@ from broadsheet.functions import sentiment as S
 from broadsheet.functions import text as X
 from broadsheet.functions import times as TM
 from broadsheet.functions import topics as TP
-from broadsheet.schemas import CATEGORIES, MIN_TEXT_FOR_SUMMARY, SECTIONS, STAGES
+from broadsheet.schemas import CATEGORIES, SECTIONS, STAGES
 from broadsheet.session import spread
 
 AS_OF = "2024-01-31 00:00:00"
@@ -74,20 +74,25 @@ def label_column():
     )
 
 
-def labelled(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
-    """Articles with ``sentiment`` and the nested ``sentiment_analysis`` record.
+def with_labels(articles_df: DataFrame, labels: DataFrame, how: str = "left") -> DataFrame:
+    """Add ``sentiment`` and the nested ``sentiment_analysis`` record.
 
     Labels hold one row per document; the join strategy is Catalyst's choice by size.
+    ``articles_df`` may be a stream.
     """
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", label_column().alias("sentiment"))
-    joined = articles(spark, sf_dir).join(labels, "doc_id", how)
+    named = labels.select("doc_id", "quality", "toxic", label_column().alias("sentiment"))
+    joined = articles_df.join(named, "doc_id", how)
     return joined.withColumn("sentiment_analysis", S.analysis(S.one_hot(F.col("sentiment"))))
 
 
+def labelled(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+    return with_labels(articles(spark, sf_dir), table(spark, sf_dir, "labels"), how)
+
+
 def with_keywords(df: DataFrame, stopwords: Iterable[str] = (), n: int = X.TOP_KEYWORDS) -> DataFrame:
     """Add ``keywords`` from ``content``; a scan with too few splits is spread first."""
     tokens = X.letter_tokens(F.col("content"), stopwords=stopwords)
-    return spread(df, "doc_id").withColumn("keywords", X.top_terms(tokens, n))
+    return X.compute_once(spread(df, "doc_id"), "keywords", X.top_terms(tokens, n))
 
 
 def with_topics(df: DataFrame) -> DataFrame:
@@ -106,13 +111,16 @@ def section_dimension(spark: SparkSession) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic and JSON value per document, with faults where the data has them.
+    return as_messages(labelled(spark, sf_dir))
+
+
+def as_messages(a: DataFrame) -> DataFrame:
+    """Topic and JSON value per labelled article, with faults where the data has them.
 
     The language picks the stage. Documents of source 7 carry an unknown category and
     those of source 9 another topic shape. Toxic documents arrive as cut-off JSON, low
     quality ones with an ftp url.
     """
-    a = labelled(spark, sf_dir)
     stage = F.get(
         F.array(*[F.lit(s) for s in STAGES]),
         F.array_position(F.array(F.lit("en"), F.lit("fr"), F.lit("de"), F.lit("es")), F.col("lang")).cast("int") - 1,
@@ -158,20 +166,26 @@ def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.where(F.col("title").isNotNull() & F.col("content").isNotNull())
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incoming records for the upsert: two versions of every labelled article and one
-    record per page. They carry url, title, press and label, nothing else."""
-    base = labelled(spark, sf_dir, how="inner")
-    first = base.select(
-        "url", F.lower("title").alias("title"), "press", "sentiment", F.lit(1).alias("ingest_seq")
-    )
-    second = base.select(
-        "url",
-        F.upper("title").alias("title"),
-        F.when(F.col("toxic") == 0, F.col("press")).alias("press"),
-        "sentiment",
-        F.lit(2).alias("ingest_seq"),
+def as_changes(base: DataFrame) -> DataFrame:
+    """Two versions of every labelled article: url, title, press and label, nothing else."""
+    versions = F.array(
+        F.struct(
+            F.concat("title", F.lit(" (first edition)")).alias("title"),
+            F.col("press").alias("press"),
+            F.lit(1).alias("ingest_seq"),
+        ),
+        F.struct(
+            F.concat("title", F.lit(" (late edition)")).alias("title"),
+            F.when(F.col("toxic") == 0, F.col("press")).alias("press"),
+            F.lit(2).alias("ingest_seq"),
+        ),
     )
+    rows = base.withColumn("_v", F.explode(versions))
+    return rows.select("url", "_v.title", "_v.press", "sentiment", "_v.ingest_seq")
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incoming records for the upsert: the article changes and one new record per page."""
     fresh = table(spark, sf_dir, "pages").select(
         "url",
         P.page_title(F.col("html")).alias("title"),
@@ -179,15 +193,10 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("sentiment"),
         F.lit(1).alias("ingest_seq"),
     )
-    return first.unionByName(second).unionByName(fresh)
+    return as_changes(labelled(spark, sf_dir, how="inner")).unionByName(fresh)
 
 
 def existing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles(spark, sf_dir).select(
         "url", "title", "press", "category", "published_at", F.lit(None).cast("string").alias("sentiment")
     )
-
-
-def long_enough(text) -> F.Column:
-    """Short-text gate of the summary stage; a missing text counts as empty."""
-    return F.coalesce(F.length(X.strip_space(text)) >= MIN_TEXT_FOR_SUMMARY, F.lit(False))

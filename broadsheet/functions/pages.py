@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import strip_space
+from broadsheet.functions.text import let, strip_space
 
 # Blocks that are not article text, and link caps per kind of list page.
 DROPPED_TAGS = ("script", "style", "iframe")
@@ -28,18 +28,21 @@ def inner_html(html: Column, tag: str) -> Column:
     return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
 
 
-def drop_blocks(html: Column, ad_class: str = "ad") -> Column:
-    for tag in DROPPED_TAGS:
-        html = F.regexp_replace(html, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", "")
-    return F.regexp_replace(html, rf'(?is)<div class="{ad_class}"[^>]*>.*?</div>', "")
+def text_of(html: Column, ad_class: str | None = None) -> Column:
+    """Text nodes joined as they stand, entities decoded, stripped at both ends.
 
-
-def text_of(html: Column) -> Column:
-    """Text nodes joined as they stand, entities decoded, stripped at both ends."""
-    text = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), r"(?s)<[^>]+>", "")
+    With ``ad_class`` script, style, frame and ad blocks go with their content. Blocks,
+    comments and tags are cut in one scan of the markup.
+    """
+    cuts = r"<!--.*?-->|<[^>]+>"
+    if ad_class is not None:
+        blocks = rf"<({'|'.join(DROPPED_TAGS)})\b[^>]*>.*?</\1>"
+        cuts = rf'{blocks}|<div class="{ad_class}"[^>]*>.*?</div>|{cuts}'
+    text = F.array_join(F.split(html, f"(?is){cuts}"), "")
+    decoded = text
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip_space(text)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return strip_space(F.when(F.contains(text, F.lit("&")), decoded).otherwise(text))
 
 
 def not_blank(text: Column) -> Column:
@@ -48,11 +51,11 @@ def not_blank(text: Column) -> Column:
 
 def page_title(html: Column, tags: Iterable[str] = ("h1", "title")) -> Column:
     """First non-blank title by tag priority."""
-    return F.coalesce(*[not_blank(text_of(inner_html(html, t))) for t in tags])
+    return F.coalesce(*[let(inner_html(html, t), lambda inner: not_blank(text_of(inner))) for t in tags])
 
 
-def page_content(html: Column, tag: str = "article") -> Column:
-    return not_blank(text_of(drop_blocks(inner_html(html, tag))))
+def page_content(html: Column, tag: str = "article", ad_class: str = "ad") -> Column:
+    return not_blank(let(inner_html(html, tag), lambda inner: text_of(inner, ad_class)))
 
 
 def page_press(html: Column, default: Column) -> Column:

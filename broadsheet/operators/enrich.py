@@ -33,11 +33,12 @@ BatchModel = Callable[[list[str]], list[str]]
 def text_stage(
     df: DataFrame,
     as_of,
-    tokenizer: X.Tokenizer = X.letter_tokens,
     top_n: int = X.TOP_KEYWORDS,
+    stopwords: Iterable[str] = (),
+    tokenizer: X.Tokenizer | None = None,
 ) -> DataFrame:
     """Add keywords and ``processed_at``; ``content`` stays as it came."""
-    keywords = X.keywords_of(F.col("content"), top_n, tokenizer)
+    keywords = X.keywords_of(F.col("content"), top_n, stopwords=stopwords, tokenizer=tokenizer)
     return X.compute_once(df, "keywords", keywords).withColumn("processed_at", TM.moment(as_of))
 
 
@@ -92,11 +93,8 @@ def extractive_summary(
                 lambda tokens: F.struct(
                     (
                         -F.coalesce(
-                            F.round(
-                                F.try_divide(
-                                    F.size(F.filter(tokens, lambda t: F.array_contains(keywords, t))), F.size(tokens)
-                                ),
-                                6,
+                            F.try_divide(
+                                F.size(F.filter(tokens, lambda t: F.array_contains(keywords, t))), F.size(tokens)
                             ),
                             F.lit(0.0),
                         )
@@ -229,11 +227,12 @@ def stored_summary(df: DataFrame) -> DataFrame:
     ).drop("summary_info")
 
 
-def word_candidates(df: DataFrame, tokenizer: X.Tokenizer = X.letter_tokens, top_n: int = 30) -> DataFrame:
-    """The ``top_n`` most frequent words of each text, one row per word with its rank."""
-    tokens = F.filter(tokenizer(F.col("content")), lambda t: F.length(t) >= 2)
+def word_candidates(df: DataFrame, top_n: int = 30) -> DataFrame:
+    """The ``top_n`` most frequent words (two letters or more) of each text, one row per
+    word with its rank."""
     kept = [c for c in df.columns if c != "content"]
-    return df.select(*kept, F.posexplode(X.top_terms(tokens, top_n)).alias("rank", "word"))
+    once = X.compute_once(df, "_words", X.keywords_of(F.col("content"), top_n))
+    return once.select(*kept, F.posexplode("_words").alias("rank", "word"))
 
 
 def words_by_label(scored: DataFrame, key: str, labels: Iterable[str], threshold: float = 0.6) -> DataFrame:

@@ -99,23 +99,25 @@ def stats_summary(df: DataFrame, as_of, days: int = 7) -> DataFrame:
 def top_topics(df: DataFrame, as_of, days: int = 7, limit: int = 5) -> DataFrame:
     """Most frequent topics of every category with the topic's words.
 
-    The words come from the record with the smallest url, so the answer does not depend
-    on row order.
+    Rows are counted per distinct word list first, in a hash aggregation over numbers;
+    where records disagree on the words, the smallest list is shown, so the answer does
+    not depend on row order.
     """
-    exploded = recent(df, as_of, days).select(
-        "category", "url", "topic_keywords", F.explode("main_topics").alias("topic")
-    )
-    words = F.coalesce(F.try_element_at("topic_keywords", F.col("topic").cast("string")), F.array().cast("array<string>"))
-    counted = (
-        exploded.select("category", "topic", F.struct("url", words.alias("words")).alias("tagged"))
-        .groupBy("category", "topic")
-        .agg(F.count(F.lit(1)).alias("count"), F.min("tagged").alias("tagged"))
-    )
+    exploded = recent(df, as_of, days).select("category", "topic_keywords", F.explode("main_topics").alias("topic"))
+    words = F.try_element_at("topic_keywords", F.col("topic").cast("string"))
+    counted = exploded.groupBy("category", "topic", words.alias("words")).agg(F.count(F.lit(1)).alias("count"))
+    topics = counted.groupBy("category", "topic").agg(F.sum("count").alias("count"), F.min("words").alias("words"))
     window = Window.partitionBy("category").orderBy(F.desc("count"), F.asc("topic"))
     return (
-        counted.withColumn("rank", F.row_number().over(window))
+        topics.withColumn("rank", F.row_number().over(window))
         .where(F.col("rank") <= limit)
-        .select("category", "topic", "count", F.col("tagged.words").alias("keywords"), "rank")
+        .select(
+            "category",
+            "topic",
+            "count",
+            F.coalesce("words", F.array().cast("array<string>")).alias("keywords"),
+            "rank",
+        )
     )
 
 

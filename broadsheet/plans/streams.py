@@ -19,10 +19,6 @@ NOW = TB.AS_OF
 LONG_DELAY = "60 days"
 
 
-def tokenizer(text):
-    return X.letter_tokens(text, stopwords=Q.STOPWORDS)
-
-
 def article_stream(spark, sf_dir):
     return TB.with_stage_times(TB.as_articles(jobs.read_table_stream(spark, sf_dir, "documents")))
 
@@ -44,7 +40,8 @@ def message_stream(spark, sf_dir):
 )
 def stream_text_stage(spark, sf_dir):
     path = fresh_path(spark, "stream-text")
-    jobs.text_job(message_stream(spark, sf_dir), NOW, f"{path}/out", f"{path}/checkpoint", tokenizer)
+    tasks = spark.sparkContext.defaultParallelism
+    jobs.text_job(message_stream(spark, sf_dir), NOW, f"{path}/out", f"{path}/checkpoint", Q.STOPWORDS, tasks)
     done = spark.read.parquet(f"{path}/out")
     return done.select(
         F.col("offset").alias("message_no"),

@@ -78,7 +78,7 @@ def term_frequencies(spark, sf_dir):
       array_to_string(keywords, ' ') AS keywords, {Q.NOW} AS processed_at FROM kw""",
 )
 def text_stage(spark, sf_dir):
-    staged = enrich.text_stage(raw(spark, sf_dir), NOW, tokenizer)
+    staged = enrich.text_stage(raw(spark, sf_dir), NOW, stopwords=Q.STOPWORDS)
     return staged.select(
         "url",
         "title",
@@ -248,7 +248,7 @@ s AS (SELECT doc_id, keywords, unnest({SENTENCES_SQL}) AS sentence,
 st AS (SELECT doc_id, keywords, sentence, pos, {Q.tokens_sql('sentence')} AS toks,
     len(list_filter(regexp_split_to_array(sentence, '\\s+'), lambda w: w <> '')) AS words FROM s),
 sc AS (SELECT doc_id, sentence, pos, words,
-    CASE WHEN len(toks) = 0 THEN 0.0 ELSE round({_TOKEN_SHARE}, 6) END AS score FROM st),
+    CASE WHEN len(toks) = 0 THEN 0.0 ELSE {_TOKEN_SHARE} END AS score FROM st),
 cum AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS used FROM sc),
 summaries AS (SELECT doc_id, string_agg(trim(sentence), '. ' ORDER BY pos) AS made FROM cum
     WHERE used <= 150 OR used - words < 30 GROUP BY doc_id),

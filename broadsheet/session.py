@@ -70,6 +70,12 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of the sources a plan reads, before filters and joins change the estimate."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst itself would broadcast this side."""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -85,7 +91,7 @@ def spread(df: DataFrame, *keys: str, bytes_per_task: int = 1 << 20) -> DataFram
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     split_bytes = 4 << 20
-    size = size_in_bytes(df)
+    size = scanned_bytes(df)
     if size >= cores * split_bytes:
         return df
     tasks = min(cores, math.ceil(size / bytes_per_task))

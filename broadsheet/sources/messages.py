@@ -21,6 +21,7 @@ def kafka_options(
     pattern: str | None = None,
     start: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Reader options for an explicit topic list or a topic pattern."""
     if (topics is None) == (pattern is None):
@@ -32,6 +33,8 @@ def kafka_options(
         options["subscribe"] = ",".join(topics)
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

@@ -91,8 +91,7 @@ def labelled(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
 
 def with_keywords(df: DataFrame, stopwords: Iterable[str] = (), n: int = X.TOP_KEYWORDS) -> DataFrame:
     """Add ``keywords`` from ``content``; a scan with too few splits is spread first."""
-    tokens = X.letter_tokens(F.col("content"), stopwords=stopwords)
-    return X.compute_once(spread(df, "doc_id"), "keywords", X.top_terms(tokens, n))
+    return X.compute_once(spread(df, "doc_id"), "keywords", X.keywords_of(F.col("content"), n, stopwords=stopwords))
 
 
 def with_topics(df: DataFrame) -> DataFrame:

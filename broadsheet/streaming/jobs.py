@@ -81,12 +81,14 @@ def batch_folders(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda
 # --- enrichment ------------------------------------------------------------
 
 
-def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, tokenizer=None) -> None:
+def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, stopwords: Sequence[str] = (), tasks: int | None = None) -> None:
     """Raw messages to processed articles; refused messages go to their own folder.
 
-    One pass over the stream: the ``outcome`` partition keeps both outputs apart.
+    One pass over the stream: the ``outcome`` partition keeps both outputs apart. Give
+    ``tasks`` when the source has fewer partitions than the job has cores; a Kafka source
+    splits its partitions by ``minPartitions`` instead.
     """
-    checked = M.checked(messages)
+    checked = M.checked(messages.repartition(tasks, "offset") if tasks else messages)
     ok = F.col("reject_reason").isNull()
     record = F.col("record")
     articles = checked.select(
@@ -98,7 +100,7 @@ def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, tokenizer=N
         *[F.when(ok, record[c]).alias(c) for c in ("title", "content", "url", "press", "published_at")],
         M.category_or_topic(record["category"], F.col("topic")).alias("category"),
     )
-    staged = enrich.text_stage(articles, as_of, tokenizer) if tokenizer else enrich.text_stage(articles, as_of)
+    staged = enrich.text_stage(articles, as_of, stopwords=stopwords)
     to_files(staged, path, checkpoint, ["outcome"])
 
 

@@ -24,8 +24,11 @@ ENTITIES = (
 
 
 def inner_html(html: Column, tag: str) -> Column:
-    """Markup inside the first ``tag`` element that does not nest in itself."""
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+    """Markup inside the first ``tag`` element that does not nest in itself; empty when
+    there is none. Splitting at the two tags is much faster than a lazy match between."""
+    opened = F.split(html, rf"(?i)<{tag}\b[^>]*>", 2)
+    closed = F.split(F.get(opened, F.lit(1)), rf"(?i)</{tag}>", 2)
+    return let(closed, lambda parts: F.when(F.size(parts) == 2, F.get(parts, F.lit(0))).otherwise(""))
 
 
 def text_of(html: Column, ad_class: str | None = None) -> Column:
@@ -34,15 +37,18 @@ def text_of(html: Column, ad_class: str | None = None) -> Column:
     With ``ad_class`` script, style, frame and ad blocks go with their content. Blocks,
     comments and tags are cut in one scan of the markup.
     """
-    cuts = r"<!--.*?-->|<[^>]+>"
+    cuts = r"!--.*?--|[^>]+"
     if ad_class is not None:
-        blocks = rf"<({'|'.join(DROPPED_TAGS)})\b[^>]*>.*?</\1>"
-        cuts = rf'{blocks}|<div class="{ad_class}"[^>]*>.*?</div>|{cuts}'
-    text = F.array_join(F.split(html, f"(?is){cuts}"), "")
-    decoded = text
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return strip_space(F.when(F.contains(text, F.lit("&")), decoded).otherwise(text))
+        blocks = rf"({'|'.join(DROPPED_TAGS)})\b[^>]*>.*?</\1"
+        cuts = rf'{blocks}|div class="{ad_class}"[^>]*>.*?</div|{cuts}'
+
+    def decode(text: Column) -> Column:
+        decoded = text
+        for entity, char in ENTITIES:
+            decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+        return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    return strip_space(let(F.array_join(F.split(html, f"(?is)<(?:{cuts})>"), ""), decode))
 
 
 def not_blank(text: Column) -> Column:

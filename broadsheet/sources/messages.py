@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from broadsheet.functions import times as TM
 from broadsheet.functions import topics as TP
+from broadsheet.functions.text import compute_once
 from broadsheet.schemas import RAW_ARTICLE, REQUIRED_FIELDS
 
 CORRUPT = "_corrupt_record"
@@ -70,7 +71,7 @@ def decode(messages: DataFrame, schema: T.StructType = RAW_ARTICLE) -> DataFrame
     """Message columns plus ``record``; text that is no valid JSON fills the corrupt field."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.withColumn("record", parsed)
+    return compute_once(messages, "record", parsed)
 
 
 def reject_reason(record: str = "record") -> Column:

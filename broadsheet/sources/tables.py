@@ -155,13 +155,11 @@ def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per page; pages without title or content are dropped."""
     html = F.col("html")
     host = F.parse_url(F.col("url"), F.lit("HOST"))
-    extracted = spread(table(spark, sf_dir, "pages"), "page_id").select(
-        "page_id",
-        "url",
-        P.page_title(html).alias("title"),
-        P.page_content(html).alias("content"),
-        P.page_press(html, host).alias("press"),
+    fields = F.struct(
+        P.page_title(html).alias("title"), P.page_content(html).alias("content"), P.page_press(html, host).alias("press")
     )
+    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    extracted = X.compute_once(pages, "fields", fields).select("page_id", "url", "fields.*")
     return extracted.where(F.col("title").isNotNull() & F.col("content").isNotNull())
 
 

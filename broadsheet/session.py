@@ -78,9 +78,8 @@ def scanned_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst itself would broadcast this side."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit_bytes = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    return 0 <= size_in_bytes(df) <= limit_bytes
+    limit_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size_in_bytes(df) <= limit_bytes
 
 
 def spread(df: DataFrame, *keys: str, bytes_per_task: int = 1 << 20) -> DataFrame:

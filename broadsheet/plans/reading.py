@@ -13,7 +13,9 @@ from broadsheet.operators import enrich, ingest, search, store, trends
 from broadsheet.plans import sqlparts as Q
 from broadsheet.plans.registry import query
 from broadsheet.schemas import STAGES
+from broadsheet.session import spread
 from broadsheet.sources import messages as M
+from broadsheet.sources import sites
 from broadsheet.sources import tables as TB
 
 CARD = ("url", "title", "press", "category", "published_at")
@@ -401,6 +403,26 @@ def extract_articles(spark, sf_dir):
     return TB.page_articles(spark, sf_dir).drop("press")
 
 
+@query("extract_articles_by_site", f"WITH {Q.PAGE_ARTICLES} SELECT page_id, title, content, {Q.NOW} AS published_at FROM page_articles")
+def extract_articles_by_site(spark, sf_dir):
+    pages = spread(TB.table(spark, sf_dir, "pages"), "page_id")
+    return sites.extract_articles(pages, sites.PLAIN_SITE, TB.AS_OF, ["page_id"]).drop("press")
+
+
+@query(
+    "page_links_by_site",
+    r"""WITH a AS (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root,
+      (regexp_extract_all(html, '<li><a href="([^"]*)"', 1))[1:3] AS hrefs FROM pages)
+    SELECT page_id, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) - 1 AS position FROM a""",
+)
+def page_links_by_site(spark, sf_dir):
+    pages = spread(TB.table(spark, sf_dir, "pages"), "page_id")
+    found = sites.extract_links(pages, sites.LinkList("nav li", 3, "a", root="https://site"), ["page_id"])
+    return found.select(
+        "page_id", F.regexp_replace("link", "^https://site", "").alias("href"), F.col("position").cast("bigint").alias("position")
+    )
+
+
 @query("extract_press", f"SELECT page_id, {Q.PAGE_PRESS} AS press FROM pages")
 def extract_press(spark, sf_dir):
     host = F.parse_url(F.col("url"), F.lit("HOST"))

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import text as X
@@ -42,19 +41,26 @@ def text_stage(
     return X.compute_once(df, "keywords", keywords).withColumn("processed_at", TM.moment(as_of))
 
 
-def sentiment_or_default(df: DataFrame, scores: Column, as_of) -> DataFrame:
-    """Attach the analysis; a row that cannot be analysed gets neutral and the reason."""
-    reason = F.when(
-        F.col("content").isNull() | (X.strip_space(F.col("content")) == ""), "missing content"
-    ).when(scores.isNull(), "no score")
+def missing_content(content: Column) -> Column:
+    return F.when(content.isNull() | (X.strip_space(content) == ""), "missing content")
+
+
+def attach_sentiment(df: DataFrame, scores: Column, reason: Column, as_of) -> DataFrame:
+    """Attach the analysis; rows with a reason get neutral and that reason instead."""
+    why = F.coalesce(reason, F.when(scores.isNull(), "no score"))
     return df.withColumns(
         {
-            "sentiment_analysis": F.when(reason.isNotNull(), S.neutral_default(reason)).otherwise(S.analysis(scores)),
+            "sentiment_analysis": F.when(why.isNotNull(), S.neutral_default(why)).otherwise(S.analysis(scores)),
             "sentiment_processed_at": TM.moment(as_of),
         }
     )
 
 
+def sentiment_or_default(df: DataFrame, scores: Column, as_of) -> DataFrame:
+    """Attach the analysis; a row that cannot be analysed gets neutral and the reason."""
+    return attach_sentiment(df, scores, missing_content(F.col("content")), as_of)
+
+
 def chunk_rows(df: DataFrame, budget: int = X.CHUNK_TOKENS) -> DataFrame:
     """One row per chunk of ``content``: the other columns, ``chunk_no`` and ``chunk``."""
     kept = [c for c in df.columns if c != "content"]
@@ -179,38 +185,32 @@ def summarize_with(
 ) -> DataFrame:
     """Summaries from an external model, loaded once per task and fed ``batch_size`` texts.
 
-    A failing batch marks its texts with the error and the others go on; short texts
-    never reach the model.
+    A failing batch marks its texts with the error and the others go on. Only the texts
+    that pass the gate travel to the model.
     """
-    schema = T.StructType(df.schema.fields + [T.StructField("_summary", T.StringType())])
-    gate = "_long"
-    with_gate = df.withColumn(gate, long_enough(F.col("content"), minimum))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def summarise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
-        for frame in frames:
-            summaries = pd.Series([None] * len(frame), index=frame.index, dtype=object)
-            todo = frame.index[frame[gate]]
+        for texts in batches:
+            made = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            todo = texts.index[texts.notna()]
             for at in range(0, len(todo), batch_size):
                 rows = todo[at : at + batch_size]
                 try:
-                    made = model(list(frame.loc[rows, "content"]))
+                    made.loc[rows] = model(list(texts.loc[rows]))
                 except Exception as error:  # one bad batch must not fail the job
-                    made = [f"{BATCH_ERROR_PREFIX}{error}"] * len(rows)
-                summaries.loc[rows] = made
-            yield frame.drop(columns=[gate]).assign(_summary=summaries)
+                    made.loc[rows] = f"{BATCH_ERROR_PREFIX}{error}"
+            yield made
 
-    skipped = ~long_enough(F.col("content"), minimum)
-    return (
-        with_gate.mapInPandas(run, schema)
-        .withColumns(
-            {
-                "summary_info": summary_record(F.col("content"), F.col("_summary"), model_name, model_type, skipped),
-                "summary_processed_at": TM.moment(as_of),
-            }
-        )
-        .drop("_summary")
-    )
+    gate = long_enough(F.col("content"), minimum)
+    found = X.compute_once(df, "_summary", summarise(F.when(gate, F.col("content"))))
+    return found.withColumns(
+        {
+            "summary_info": summary_record(F.col("content"), F.col("_summary"), model_name, model_type, ~gate),
+            "summary_processed_at": TM.moment(as_of),
+        }
+    ).drop("_summary")
 
 
 def summary_failures(df: DataFrame) -> DataFrame:

@@ -55,14 +55,17 @@ def class_scores(df: DataFrame, model: PipelineModel, text: str, tokenizer: X.To
 def analyse_sentiment(df: DataFrame, model: PipelineModel, as_of, key: str = "url") -> DataFrame:
     """Score the chunks of every text, average them, attach the record.
 
-    Only three numbers per chunk are shuffled; the texts are joined back by key.
+    Three numbers per chunk are shuffled for the mean. The means are joined to ``df`` by
+    key; the texts take part in that join only when the caller selects ``content``,
+    because the check for missing text is made before it.
     """
     chunks = enrich.chunk_rows(df.select(key, "content").where(F.col("content").isNotNull()))
     scored = class_scores(chunks, model, "chunk")
     columns = [F.avg(F.get("scores", F.lit(i))).alias(x) for i, x in enumerate(SENTIMENT_LABELS)]
     means = scored.groupBy(key).agg(*columns)
-    joined = df.join(means.select(key, F.array(*SENTIMENT_LABELS).alias("_scores")), key, "left")
-    return enrich.sentiment_or_default(joined, F.col("_scores"), as_of).drop("_scores")
+    marked = df.withColumn("_reason", enrich.missing_content(F.col("content")))
+    joined = marked.join(means.select(key, F.array(*SENTIMENT_LABELS).alias("_scores")), key, "left")
+    return enrich.attach_sentiment(joined, F.col("_scores"), F.col("_reason"), as_of).drop("_scores", "_reason")
 
 
 def sentiment_words(df: DataFrame, model: PipelineModel, key: str = "url", threshold: float = 0.6) -> DataFrame:

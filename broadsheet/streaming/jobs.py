@@ -86,7 +86,8 @@ def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, stopwords:
 
     One pass over the stream: the ``outcome`` partition keeps both outputs apart. Give
     ``tasks`` when the source has fewer partitions than the job has cores; a Kafka source
-    splits its partitions by ``minPartitions`` instead.
+    splits its partitions by ``minPartitions`` instead. Counters per batch are observed
+    under ``text_job`` in the query progress.
     """
     checked = M.checked(messages.repartition(tasks, "offset") if tasks else messages)
     ok = F.col("reject_reason").isNull()
@@ -101,7 +102,8 @@ def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, stopwords:
         M.category_or_topic(record["category"], F.col("topic")).alias("category"),
     )
     staged = enrich.text_stage(articles, as_of, stopwords=stopwords)
-    to_files(staged, path, checkpoint, ["outcome"])
+    counters = [F.count(F.lit(1)).alias("messages"), F.count_if(F.col("outcome") == "rejected").alias("rejected")]
+    to_files(staged.observe("text_job", *counters), path, checkpoint, ["outcome"])
 
 
 def fan_out(messages: DataFrame, jobs: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str) -> None:

@@ -22,6 +22,7 @@ TOP_KEYWORDS = 10
 CHUNK_TOKENS = 512
 CHARS_PER_TOKEN = 4
 SENTENCE_END = r"[.!?]+(\s+|$)"
+SENTENCE_END_PYTHON = r"[.!?]+(?:\s+|\Z)"
 
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"

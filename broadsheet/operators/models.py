@@ -45,11 +45,9 @@ def train_sentiment(
 def class_scores(df: DataFrame, model: PipelineModel, text: str, tokenizer: X.Tokenizer = X.letter_tokens) -> DataFrame:
     """Add ``scores``: probabilities in label order (a class never seen in training is 0)."""
     scored = model.transform(df.withColumn("tokens", tokenizer(F.col(text))))
-    array = vector_to_array("probability")
-    padded = F.transform(
-        F.sequence(F.lit(0), F.lit(len(SENTIMENT_LABELS) - 1)), lambda i: F.coalesce(F.get(array, i), F.lit(0.0))
-    )
-    return scored.withColumn("scores", padded).select(*df.columns, "scores")
+    once = X.compute_once(scored, "scores", vector_to_array("probability"))
+    padded = F.array(*[F.coalesce(F.get("scores", F.lit(i)), F.lit(0.0)) for i in range(len(SENTIMENT_LABELS))])
+    return once.select(*df.columns, padded.alias("scores"))
 
 
 def analyse_sentiment(df: DataFrame, model: PipelineModel, as_of, key: str = "url") -> DataFrame:

@@ -13,13 +13,14 @@ from broadsheet.functions.text import let, strip_space
 DROPPED_TAGS = ("script", "style", "iframe")
 LINK_CAPS = {"top": 10, "list": 20, "section": 30}
 
+# Named references are read with or without the closing semicolon, as browsers do.
 ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
+    ("&nbsp;?", "\u00a0"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
     ("&#39;", "'"),
-    ("&amp;", "&"),
+    ("&amp;?", "&"),
 )
 
 
@@ -45,7 +46,7 @@ def text_of(html: Column, ad_class: str | None = None) -> Column:
     def decode(text: Column) -> Column:
         decoded = text
         for entity, char in ENTITIES:
-            decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+            decoded = F.regexp_replace(decoded, entity, char)
         return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
     return strip_space(let(F.array_join(F.split(html, f"(?is)<(?:{cuts})>"), ""), decode))

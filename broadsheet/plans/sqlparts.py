@@ -82,7 +82,7 @@ def text_of_sql(x: str) -> str:
     x = f"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', '', 'g'), '(?s)<[^>]+>', '', 'g')"
     for entity, char in ENTITIES:
         literal = char.replace("'", "''")
-        x = f"replace({x}, '{entity}', '{literal}')"
+        x = f"regexp_replace({x}, '{entity}', '{literal}', 'g')"
     return strip_sql(x)
 
 

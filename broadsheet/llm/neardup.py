@@ -143,8 +143,8 @@ def star_pairs(posts: DataFrame, turn: int, share: float) -> DataFrame:
     )
 
 
-def strays(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members outside their posting's largest component, and how many pairs they make."""
+def strays(posts: DataFrame) -> DataFrame:
+    """Members outside their posting's largest component, with that and the posting's size."""
     sizes = posts.groupBy("key", "comp").agg(F.count("*").alias("size"))
     main = (
         sizes.groupBy("key")
@@ -155,13 +155,11 @@ def strays(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .filter("parts > 1")
     )
-    out = posts.join(main, "key").filter(F.col("comp") != F.col("main"))
-    return out, out.agg(F.sum("total").alias("pairs"), F.count("*").alias("rows"))
+    return posts.join(main, "key").filter(F.col("comp") != F.col("main"))
 
 
-def stray_pairs(posts: DataFrame, share: float) -> DataFrame:
+def stray_pairs(posts: DataFrame, out: DataFrame, share: float) -> DataFrame:
     """All pairs across components within a posting, each once."""
-    out, _ = strays(posts)
     left = out.select("key", "main", F.struct("id", "comp", "n", "sign").alias("one"))
     right = posts.select("key", F.struct("id", "comp", "n", "sign").alias("two"))
     return (
@@ -174,6 +172,35 @@ def stray_pairs(posts: DataFrame, share: float) -> DataFrame:
     )
 
 
+def hung(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after each component took the smallest one it is linked to, and that one's."""
+    ends = across(labels, links)
+    low = (
+        ends.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("down"))
+        .groupBy("id")
+        .agg(F.min("down").alias("down"))
+    )
+    low = tables.written(low, "steps")
+    next_low = low.select(F.col("id").alias("down"), F.col("down").alias("deeper"))
+    steps = low.join(next_low, "down", "left").select(
+        F.col("id").alias("comp"), F.coalesce("deeper", "down").alias("to")
+    )
+    return tables.written(
+        labels.join(steps, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")),
+        "labels",
+    )
+
+
+def across(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Links as pairs of different components."""
+    return (
+        links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("x")), "a")
+        .join(labels.select(F.col("id").alias("b"), F.col("comp").alias("y")), "b")
+        .filter(F.col("x") != F.col("y"))
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union.
 
@@ -226,7 +253,6 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         .repartition("a", "chunk")
         .sortWithinPartitions("a", "chunk", "role")
         .mapInArrow(compare, "a long, b long")
-        .distinct()
     )
 
 
@@ -255,35 +281,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "active",
     )
     labels = tables.written(active.select("id", F.col("id").alias("comp")), "labels")
-    tested, turn = None, 0
+    links, turn = None, 0
     while True:
         now = posts.join(labels, "id")
-        exact = turn >= 1
-        if exact and turn < MOST_STARS:
-            total = strays(now)[1].first()
-            exact = (total.pairs or 0) <= PAIRS_PER_POSTING * max(posts.count(), 1)
-        pairs = stray_pairs(now, share) if exact or turn >= MOST_STARS else star_pairs(now, turn, share)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = tables.written(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = tables.written(verified(pairs, texts, width, percent), "links")
-        ends = links.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("x")), "a").join(
-            labels.select(F.col("id").alias("b"), F.col("comp").alias("y")), "b"
+        out = tables.written(strays(now), "strays") if turn else None
+        total = out.agg(F.sum("total").alias("pairs")).first().pairs or 0 if turn else 0
+        last = turn > 0 and (turn >= MOST_STARS or total <= PAIRS_PER_POSTING * posts.count())
+        if not last:
+            pairs = star_pairs(now, turn, share)
+        elif total:
+            pairs = stray_pairs(now, out, share)
+        else:
+            break
+        new = tables.written(
+            verified(tables.written(pairs, "pairs"), texts, width, percent), "links"
         )
-        merged = ends.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        if not merged.isEmpty():
-            tops = labels.select(F.col("comp").alias("id")).distinct()
-            joined = tables.components(merged, tops.select("id", F.col("id").alias("comp")))
-            labels = tables.written(
-                labels.select("id", F.col("comp").alias("at")).join(
-                    joined.select(F.col("id").alias("at"), "comp"), "at"
-                ).select("id", "comp"),
-                "labels",
-            )
-        if exact or turn >= MOST_STARS:
+        links = new if links is None else links.union(new)
+        if last:
             break
+        labels = hung(labels, new)
         turn += 1
+    merged = tables.written(across(labels, links).distinct(), "merged")
+    if not merged.isEmpty():
+        tops = labels.select(F.col("comp").alias("id")).distinct()
+        joined = tables.components(merged, tops.select("id", F.col("id").alias("comp")))
+        labels = tables.written(
+            labels.select("id", F.col("comp").alias("at"))
+            .join(joined.select(F.col("id").alias("at"), "comp"), "at")
+            .select("id", "comp"),
+            "labels",
+        )
     by_set = nodes.select("set_key", "id").join(labels, "id", "left")
     found = by_set.select("set_key", F.coalesce("comp", "id").alias("comp"))
     linked = F.col("n_shingles") > 0

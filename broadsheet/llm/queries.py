@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import neardup, tables
+from broadsheet.llm import bpe, neardup, tables
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -15,6 +15,15 @@ def query(fn):
     return fn
 
 
+@query
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts through the automaton of the word-level vocabulary, and back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encoded(tables.read(spark, sf_dir, "documents"), path, ids=False)
+
+
 @query
 def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity of 0.8 or more, one row per document."""

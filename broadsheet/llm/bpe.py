@@ -5,9 +5,9 @@ base symbol. The gadget of a merge (u, v) -> w splits the state that all u arcs
 now enter a copy without the v arc, and every state with a u arc gets a w arc to where v led.
 So a path reads u and then v only where the merge could not have applied, and each symbol
 sequence has exactly one path: its encoding. All arcs of one token enter the same state, hence
-the compiled form is small: per token the state it enters, per state the state it was copied
-from and the one token that was taken away, per token the merge it comes from. Whether a state
-has an arc is looked up along that chain once and then kept in a table.
+the compiled form is small: per token the state it enters and the merge it comes from, per
+state the row of copies it stands in and the arc that was taken away. Whether a state has an
+arc is looked up along those rows once and then kept in a table.
 
 Words are encoded by running all arcs from left to right; decoding emits the labels of the
 arcs. Words seen before in the same task are taken from a table of bounded size.
@@ -22,6 +22,7 @@ import hashlib
 import json
 import struct
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,20 +47,24 @@ class Automaton:
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], end: str):
         self.ids, self.end = vocabulary, end
-        self.enters = {}
-        self.copied, self.lost, self.born_state = [-1], [-1], [-1]
-        self.left, self.born = {}, {}
-        for name, token in vocabulary.items():
-            self.enters[token] = 0
-            self.born[token] = -1
-        for turn, (u, v) in enumerate(merges):
-            u, v, w = vocabulary[u], vocabulary[v], vocabulary[u + v]
+        self.enters = dict.fromkeys(vocabulary.values(), 0)
+        self.left: dict[int, int] = {}
+        self.born = dict.fromkeys(vocabulary.values(), -1)
+        #: Per state the merge that made it and the row of copies it belongs to; a row holds
+        #: the successive copies for one token: their merges, states, lost arcs and origin.
+        self.made, self.row = [-1], [None]
+        rows: dict[int, tuple[list[int], list[int], dict[int, int], int]] = {}
+        for turn, (first, second) in enumerate(merges):
+            u, v, w = vocabulary[first], vocabulary[second], vocabulary[first + second]
             to = self.enters[v]
-            self.copied.append(self.enters[u])
-            self.lost.append(v)
-            self.born_state.append(turn)
-            self.enters[u] = len(self.copied) - 1
-            self.enters[w] = to
+            turns, states, lost, _ = rows.setdefault(u, ([], [], {}, self.enters[u]))
+            state = len(self.made)
+            turns.append(turn)
+            states.append(state)
+            lost[v] = turn
+            self.made.append(turn)
+            self.row.append(rows[u])
+            self.enters[u], self.enters[w] = state, to
             self.left[w], self.born[w] = u, turn
         stems = (n.removesuffix(end) if end else n for n in vocabulary)
         self.begun = {n[:k] for n in stems for k in range(1, len(n) + 1)}
@@ -75,13 +80,16 @@ class Automaton:
             if s == 0:
                 found = True
                 break
-            if self.lost[s] == t:
+            turns, states, lost, origin = self.row[s]
+            if lost.get(t, self.made[s] + 1) <= self.made[s]:
                 found = False
                 break
-            if self.born[t] < self.born_state[s]:
-                s = self.copied[s]
-            else:
+            born = self.born[t]
+            if born > self.made[s]:
                 t = self.left[t]
+                continue
+            older = bisect_left(turns, born) - 1
+            s = states[older] if older >= 0 else origin
         if len(self.arcs) >= KEPT_ARCS:
             self.arcs.clear()
         self.arcs[(state, token)] = found

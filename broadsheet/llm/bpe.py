@@ -22,7 +22,7 @@ import hashlib
 import json
 import struct
 import unicodedata
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -85,10 +85,10 @@ class Automaton:
                 found = False
                 break
             born = self.born[t]
-            if born > self.made[s]:
+            if born >= self.made[s]:
                 t = self.left[t]
                 continue
-            older = bisect_left(turns, born) - 1
+            older = bisect_right(turns, born) - 1
             s = states[older] if older >= 0 else origin
         if len(self.arcs) >= KEPT_ARCS:
             self.arcs.clear()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, neardup, tables
+from broadsheet.llm import bpe, neardup, repetition, tables
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -30,6 +30,12 @@ def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(tables.read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+@query
+def op8_suffix_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain quality rules and the verdict on repeated substrings, one row per document."""
+    return repetition.judged(tables.read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, neardup, repetition, tables
+from broadsheet.llm import bpe, decontaminate, neardup, quality, repetition, tables, toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -15,6 +15,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the training folds only."""
+    docs = tables.read(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fitted(docs, tables.read(spark, sf_dir, "labels")))
+
+
 @query
 def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through the automaton of the word-level vocabulary, and back."""
@@ -24,12 +31,27 @@ def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(tables.read(spark, sf_dir, "documents"), path, ids=False)
 
 
+@query
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap, substitutions allowed."""
+    return decontaminate.contaminated(
+        tables.read(spark, sf_dir, "documents"), tables.read(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity of 0.8 or more, one row per document."""
     return neardup.near_duplicates(tables.read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+@query
+def op7_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of the training folds only."""
+    docs = tables.read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fitted(docs, tables.read(spark, sf_dir, "labels")))
+
+
 @query
 def op8_suffix_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain quality rules and the verdict on repeated substrings, one row per document."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, decontaminate, neardup, quality, repetition, tables, toxicity
+from broadsheet.llm import bpe, decontaminate, neardup, quality, repetition, substrings, tables, toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -58,6 +58,12 @@ def op8_suffix_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(tables.read(spark, sf_dir, "documents"))
 
 
+@query
+def op10_blockwise_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier document has too, 50 or more in a row."""
+    return substrings.deduplicated(tables.read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -29,12 +29,12 @@ from broadsheet.llm import labelled, words
 BUCKETS = 1 << 17
 WIDTH = 8
 GRAMS = (3, 4, 5, 6)
-PASSAGE = 12
+PASSAGE = 4
 #: Bounds of the training sample: rows per class, and characters of a text taken as training row.
 ROWS_PER_CLASS = 2500
 LONGEST_TRAINING_TEXT = 20_000
 WARM_EPOCHS = 12
-EPOCHS = 40
+EPOCHS = 50
 RATE = 0.5
 KEPT_WORDS = 250_000
 WORD = re.compile(r"[^\W_]+")

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import bpe, decontaminate, neardup, quality, repetition, substrings, tables, toxicity
+from broadsheet.llm import (
+    bpe,
+    decontaminate,
+    neardup,
+    privacy,
+    quality,
+    repetition,
+    secrets,
+    substrings,
+    tables,
+    toxicity,
+)
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -45,6 +56,12 @@ def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(tables.read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+@query
+def op6_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it, one row per document."""
+    return privacy.reported(tables.read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of the training folds only."""
@@ -58,6 +75,12 @@ def op8_suffix_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(tables.read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, candidates from the trigram index."""
+    return secrets.reported(tables.read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_blockwise_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that an earlier document has too, 50 or more in a row."""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from broadsheet.llm import (
     bpe,
     decontaminate,
+    licences,
     neardup,
     privacy,
     quality,
@@ -56,6 +58,32 @@ def op4_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(tables.read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+@query
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents (path: source and id) and all pages (path: host and path)."""
+    docs = tables.read(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc:"), F.col("doc_id")).alias("file"),
+        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"),
+        "text",
+    )
+    pages = tables.read(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page:"), F.col("page_id")).alias("file"),
+        licences.url_path(F.col("url")).alias("path"),
+        F.col("html").alias("text"),
+    )
+    found = licences.scanned(docs.unionByName(pages))
+    number = F.regexp_extract("file", "([0-9]+)$", 1).cast("long")
+    return found.select(
+        F.when(F.col("file").startswith("doc:"), number).alias("doc_id"),
+        F.when(F.col("file").startswith("page:"), number).alias("page_id"),
+        "path",
+        "licence",
+        "score",
+        "basis",
+        "origin",
+    )
+
+
 @query
 def op6_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it, one row per document."""

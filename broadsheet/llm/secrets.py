@@ -126,41 +126,57 @@ def rule_spans(text: Column, kind: str, pattern: str, asked: Column) -> Column:
 
 
 def scanned(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """doc_id, text and found: array<struct<start, rank, end, kind>> by start, then rule."""
+    """The rows of ``docs`` (doc_id, text and any others) with ``found_secrets``: an array of
+    struct<start, rank, end, kind> by start, then rule. A null text stays null and has none.
+    """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     known = indexed(rules)
-    asked = rows.join(
-        candidates(rows, rules).hint("shuffle_hash"), F.col("doc_id") == F.col("at"), "left"
+    asked = docs.join(
+        candidates(rows, rules).withColumnsRenamed({"at": "secret_at", "rules": "secret_rules"}).hint("shuffle_hash"),
+        F.col("doc_id") == F.col("secret_at"),
+        "left",
     )
 
     def wanted(kind: str) -> Column:
         if kind not in known:
             return F.lit(True)
-        return F.col("doc_id").isNull() | F.coalesce(F.array_contains("rules", kind), F.lit(False))
+        met = F.array_contains("secret_rules", kind)
+        return F.col("doc_id").isNull() | F.coalesce(met, F.lit(False))
 
-    parts = [rule_spans(F.col("text"), k, p, wanted(k)) for k, p in rules.items()]
-    return asked.select("doc_id", "text", F.array_sort(F.concat(*parts)).alias("found"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    parts = [rule_spans(text, k, p, wanted(k)) for k, p in rules.items()]
+    return asked.select(*docs.columns, F.array_sort(F.concat(*parts)).alias("found_secrets"))
 
 
 def reported(docs: DataFrame) -> DataFrame:
     """doc_id, counts and digest of the base rules, and all spans as one string."""
     kinds = ["assign", "access", "hex"]
-    found = scanned(docs).select("doc_id", "found")
+    found = scanned(docs.select("doc_id", "text")).select("doc_id", F.col("found_secrets").alias("found"))
     base = F.filter("found", lambda x: x["rank"] < len(kinds))
     counts = [spans.counted("found", k) for k in kinds]
     return found.select(
-        "doc_id", *counts, F.sha2(spans.listed(base), 256).alias("base_sha256"), spans.listed(F.col("found")).alias("spans")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *counts,
+        F.sha2(spans.listed(base), 256).alias("base_sha256"),
+        spans.listed(F.col("found")).alias("spans"),
     )
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) with every secret replaced by its rule's name."""
+    """The rows and columns of ``docs`` with every secret replaced by its rule's name.
+
+    Where ``docs`` has n_chars, it follows the text of rows that changed.
+    """
     found = scanned(docs)
-    return found.select(
-        "doc_id",
-        spans.replaced(F.col("text"), F.col("found"), lambda x: F.concat(F.lit("["), x["kind"], F.lit("]"))).alias("text"),
-        F.size("found").alias("n_secrets"),
+    changed = F.size("found_secrets") > 0
+    masked = spans.replaced(
+        F.col("text"), F.col("found_secrets"), lambda x: F.concat(F.lit("["), x["kind"], F.lit("]"))
     )
+    rows = found.withColumn("text", F.when(changed, masked).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)

@@ -2,16 +2,17 @@
 
 Every set of shingles gets a MinHash signature. A document is posted under each
 (coordinate, value) pair of its signature. Two documents whose sets have a similarity of 0.8
-agree in 26 of 32 coordinates on average and in fewer than ``AGREE`` = 12 with a probability
-below 1e-7, so pairs that agree in at least 12 are the candidates.
+agree in 51 of 64 coordinates on average and in fewer than ``AGREE`` = 34 with a probability
+of about 3e-7, so pairs that agree in at least 34 are the candidates.
 
 * Coordinate values that only one document has are no use and go first. Of the rest each
   document posts its rarest ``shared - AGREE + 1`` only (prefix filter): two documents that
-  agree in 12 coordinates still meet in one of these, and postings that half the corpus
+  agree in 34 coordinates still meet in one of these, and postings that half the corpus
   shares are mostly never made.
 * Equal sets are one node throughout, whatever the number of copies.
-* A posting is first read as a star: each member against one pivot, and again in other orders of
-  the members while many pairs are left. Then postings whose members are still in different components yield their pairs
+* A posting is first read as a star: each member against one pivot, its smallest member; then,
+  while many pairs are left, against pivots drawn for each posting anew, so a member that the
+  first pivot missed meets up to as many others as it has postings. Then postings whose members are still in different components yield their pairs
   across components (and no others), so no link between components is missed while members
   of one large group are never paired with each other.
 * A candidate pair becomes a link only after its full sets were compared.
@@ -32,11 +33,14 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm import tables, words
 
-COORDINATES = 32
-AGREE = 12
+COORDINATES = 64
+AGREE = 34
+#: Lowest bits of the coordinates that must agree; pairs that agree in AGREE coordinates have
+#: these and half of the others.
+BITS_AGREE = 40
 #: Stars are only repeated while postings would yield more pairs than this many times themselves.
-PAIRS_PER_POSTING = 4
-MOST_STARS = 6
+PAIRS_PER_POSTING = 1
+MOST_STARS = 4
 #: Tasks over which one pivot's members may be spread.
 SPREAD = 256
 SETS_AT_ONCE = 1 << 14
@@ -80,7 +84,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame) -> DataFrame:
-    """(key, id, n, sign): each node under its rarest shared coordinate values."""
+    """(key, id, n, bits): each node under its rarest shared coordinate values.
+
+    bits holds the lowest bit of each coordinate.
+    """
     posts = nodes.select("id", F.posexplode("sign").alias("at", "value")).select(
         "id", (F.col("at").cast("long") * (1 << 32) + F.col("value")).alias("key")
     )
@@ -92,24 +99,34 @@ def prefixes(nodes: DataFrame) -> DataFrame:
         .filter(F.size("posts") >= AGREE)
         .select("id", F.slice("posts", F.lit(1), F.size("posts") - AGREE + 1).alias("posts"))
     )
-    return (
-        ranked.join(nodes, "id")
-        .select("id", "n", "sign", F.explode("posts.key").alias("key"))
-        .select("key", "id", "n", "sign")
+    bits = F.aggregate(
+        "sign", F.lit(0).cast("long"), lambda all, x: F.shiftleft(all, 1).bitwiseOR(x.bitwiseAND(1).cast("long"))
+    )
+    return ranked.join(nodes.select("id", "n", bits.alias("bits")), "id").select(
+        F.explode("posts.key").alias("key"), "id", "n", "bits"
     )
 
 
-def agreeing(left: str, right: str, share: float):
-    """Sizes allow the similarity, and enough coordinates collide."""
+def may_agree(left: str, right: str, share: float):
+    """Sizes and lowest bits allow the similarity."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    differ = F.bit_count(F.col(f"{left}.bits").bitwiseXOR(F.col(f"{right}.bits")))
+    return (F.least(n, m) >= share * F.greatest(n, m)) & (differ <= COORDINATES - BITS_AGREE)
+
+
+def agreeing(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs whose signatures collide in AGREE coordinates or more."""
     hits = F.aggregate(
-        F.zip_with(
-            f"{left}.sign", f"{right}.sign", lambda x, y: F.when(x == y, 1).otherwise(0)
-        ),
+        F.zip_with("sign_a", "sign_b", lambda x, y: F.when(x == y, 1).otherwise(0)),
         F.lit(0),
         lambda total, one: total + one,
     )
-    return (F.least(n, m) >= share * F.greatest(n, m)) & (hits >= AGREE)
+    return (
+        pairs.join(signs.select(F.col("id").alias("a"), F.col("sign").alias("sign_a")), "a")
+        .join(signs.select(F.col("id").alias("b"), F.col("sign").alias("sign_b")), "b")
+        .filter(hits >= AGREE)
+        .select("a", "b")
+    )
 
 
 def pair_up(a: str, b: str):
@@ -122,11 +139,11 @@ def pair_up(a: str, b: str):
 def star_pairs(posts: DataFrame, turn: int, share: float) -> DataFrame:
     """Each member of a posting with the posting's pivot, where their components differ."""
     row = F.struct(
-        (F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("order"),
+        (F.col("id") if turn == 0 else F.xxhash64("id", "key", F.lit(turn))).alias("order"),
         "id",
         "comp",
         "n",
-        "sign",
+        "bits",
     )
     pivots = (
         posts.groupBy("key")
@@ -134,10 +151,10 @@ def star_pairs(posts: DataFrame, turn: int, share: float) -> DataFrame:
         .filter("low < high")
         .select("key", "pivot")
     )
-    met = posts.select("key", F.struct("id", "comp", "n", "sign").alias("one")).join(pivots, "key")
+    met = posts.select("key", F.struct("id", "comp", "n", "bits").alias("one")).join(pivots, "key")
     return (
         met.filter(F.col("one.comp") != F.col("pivot.comp"))
-        .filter(agreeing("one", "pivot", share))
+        .filter(may_agree("one", "pivot", share))
         .select(*pair_up("one", "pivot"))
         .distinct()
     )
@@ -160,13 +177,13 @@ def strays(posts: DataFrame) -> DataFrame:
 
 def stray_pairs(posts: DataFrame, out: DataFrame, share: float) -> DataFrame:
     """All pairs across components within a posting, each once."""
-    left = out.select("key", "main", F.struct("id", "comp", "n", "sign").alias("one"))
-    right = posts.select("key", F.struct("id", "comp", "n", "sign").alias("two"))
+    left = out.select("key", "main", F.struct("id", "comp", "n", "bits").alias("one"))
+    right = posts.select("key", F.struct("id", "comp", "n", "bits").alias("two"))
     return (
         left.join(right, "key")
         .filter(F.col("one.comp") != F.col("two.comp"))
         .filter((F.col("two.comp") == F.col("main")) | (F.col("one.id") < F.col("two.id")))
-        .filter(agreeing("one", "two", share))
+        .filter(may_agree("one", "two", share))
         .select(*pair_up("one", "two"))
         .distinct()
     )
@@ -280,7 +297,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .join(active.hint("shuffle_hash"), "id", "left_semi"),
         "active",
     )
-    labels = tables.written(active.select("id", F.col("id").alias("comp")), "labels")
+    signs = tables.written(nodes.select("id", "sign").join(active, "id", "left_semi"), "signs")
+    labels = signs.select("id", F.col("id").alias("comp"))
     links, turn = None, 0
     while True:
         now = posts.join(labels, "id")
@@ -294,7 +312,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         else:
             break
         new = tables.written(
-            verified(tables.written(pairs, "pairs"), texts, width, percent), "links"
+            verified(tables.written(agreeing(pairs, signs), "pairs"), texts, width, percent), "links"
         )
         links = new if links is None else links.union(new)
         if last:

@@ -43,6 +43,10 @@ HEADLINE = (
     "text_stage",
     "chunk_docs",
     "summary_stage",
+    "sentiment_stage",
+    "sentiment_keywords",
+    "topics_lda",
+    "extract_articles_by_site",
     "stage_coverage",
     "stream_text_stage",
     "stream_upsert",
@@ -59,6 +63,7 @@ def main() -> None:
         shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
         **{
             "spark.ui.enabled": "false",
+            **({"spark.broadsheet.tasks": cpus} if cpus.isdigit() else {}),
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
         },

@@ -11,7 +11,6 @@ from broadsheet.functions.text import let, strip_space
 
 # Blocks that are not article text, and link caps per kind of list page.
 DROPPED_TAGS = ("script", "style", "iframe")
-LINK_CAPS = {"top": 10, "list": 20, "section": 30}
 
 # Named references are read with or without the closing semicolon, as browsers do.
 ENTITIES = (

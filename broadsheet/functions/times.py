@@ -20,10 +20,10 @@ def moment(value: datetime | str) -> Column:
 
 
 def since(column: Column, as_of: datetime | str, days: int) -> Column:
-    """Trailing window ``column >= as_of - days``; ``days`` of 0 or less means no bound."""
+    """Trailing window from ``as_of - days`` up to ``as_of``; ``days`` of 0 or less means no bound."""
     if days <= 0:
         return F.lit(True)
-    return column >= moment(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
+    return column.between(moment(as_of) - F.expr(f"INTERVAL {int(days)} DAYS"), moment(as_of))
 
 
 def between(column: Column, start: datetime | str | None, end: datetime | str | None) -> Column:

@@ -67,12 +67,12 @@ def related(docs: DataFrame, sources: DataFrame, per_node: int) -> DataFrame:
     """Top keywords seen together with each source keyword: ``source, target, weight``.
 
     ``sources`` holds at most ``per_node ** level`` keywords, a bound fixed by the
-    parameters, so broadcasting it is safe. Only pairs with a source keyword are built.
+    parameters. Only pairs with a source keyword are built.
     Counts combine map-side before the shuffle and the rank filter is a group limit.
     """
     pairs = (
         docs.select("keywords", F.explode(F.array_distinct("keywords")).alias("source"))
-        .join(F.broadcast(sources), "source")
+        .join(sources, "source")
         .select("source", F.explode("keywords").alias("target"))
         .where("source <> target")
     )
@@ -104,7 +104,7 @@ def network_edges(
         edges = found if edges is None else edges.unionByName(found)
         if level < depth:
             frontier = (
-                found.select(F.col("target").alias("source")).distinct().join(F.broadcast(reached), "source", "left_anti")
+                found.select(F.col("target").alias("source")).distinct().join(reached, "source", "left_anti")
             )
             reached = reached.union(frontier)
     return edges

@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from broadsheet.functions import times as TM
 from broadsheet.schemas import STAGE_RETENTION_DAYS, STAGE_TIME_COLUMN
-from broadsheet.session import fits_broadcast
 
 SortKey = tuple[str, int]
 
@@ -65,8 +65,10 @@ def newest_per_group(df: DataFrame, group: str, limit: int, skip: int = 0) -> Da
 
 def latest_per_key(incoming: DataFrame, key: str = "url", order: str = "ingest_seq") -> DataFrame:
     """Last write per key. Keeping rank 1 is a per-task group limit before the shuffle, so
-    a key with very many copies is thinned where it is read."""
-    window = Window.partitionBy(key).orderBy(F.desc(order))
+    a key with very many copies is thinned where it is read. Of writes with an equal
+    ``order`` the one with the largest hash of its columns counts (maps left out)."""
+    hashed = [f.name for f in incoming.schema.fields if not isinstance(f.dataType, T.MapType)]
+    window = Window.partitionBy(key).orderBy(F.desc(order), F.desc(F.xxhash64(*hashed)))
     return incoming.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
@@ -76,10 +78,7 @@ def upsert_merge(existing: DataFrame, incoming: DataFrame, key: str = "url", ord
     Columns the incoming side carries overwrite, nulls included; columns it does not
     carry keep the stored value. New keys are inserted. Both sides hold each key once
     after ``latest_per_key``, so no key can be hot.
-
-    When the incoming side is small by Catalyst's own size check, the table is never
-    shuffled: a left join updates it and an anti join finds the inserts. Otherwise one
-    full outer join does both.
+    One full outer join updates and inserts.
     """
     carried = [c for c in incoming.columns if c not in (key, order)]
     packed = latest_per_key(incoming, key, order).select(key, F.struct(*carried).alias("_new"))
@@ -92,12 +91,7 @@ def upsert_merge(existing: DataFrame, incoming: DataFrame, key: str = "url", ord
 
     columns = existing.columns + [c for c in carried if c not in existing.columns]
     out = [key] + [value(c) for c in columns if c != key]
-    if not fits_broadcast(incoming):
-        return existing.join(packed, key, "full_outer").select(*out)
-    updated = existing.join(packed, key, "left").select(*out)
-    known = existing.select(key).join(packed.select(key), key, "left_semi")
-    added = packed.join(known, key, "left_anti").select(key, "_new.*")
-    return updated.unionByName(added, allowMissingColumns=True)
+    return existing.join(packed, key, "full_outer").select(*out)
 
 
 def stamp(df: DataFrame, stage: str, as_of: str) -> DataFrame:

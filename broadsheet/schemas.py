@@ -57,7 +57,7 @@ TOPIC_ANALYSIS = T.StructType(
     ]
 )
 
-REQUIRED_FIELDS = ("title", "content", "url", "press", "category", "published_at", "collected_at")
+REQUIRED_FIELDS = ("title", "content", "url", "press", "category", "published_at")
 
 # ---------------------------------------------------------------------------
 # They must equal the reference's, so they are listed as they are.

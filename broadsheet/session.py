@@ -1,8 +1,7 @@
-"""Session defaults, the shared work folder, and the size checks used before a broadcast."""
+"""Session defaults, the shared work folder, and the number of tasks for row work."""
 
 from __future__ import annotations
 
-import math
 import re
 import tempfile
 import uuid
@@ -65,34 +64,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; nothing is run."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Deal rows out to ``tasks`` tasks before heavy per-row work, where the caller asks.
 
-
-def scanned_bytes(df: DataFrame) -> int:
-    """Size of the sources a plan reads, before filters and joins change the estimate."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst itself would broadcast this side."""
-    limit_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size_in_bytes(df) <= limit_bytes
-
-
-def spread(df: DataFrame, *keys: str, bytes_per_task: int = 1 << 20) -> DataFrame:
-    """Give a small, under-split scan one task per core before heavy per-row work.
-
-    A large table already has more splits than cores and comes back unchanged, so no
-    text is shuffled at scale; only a scan with fewer splits than cores is spread.
+    Without ``tasks`` the setting spark.broadsheet.tasks decides; without either the scan
+    keeps its own splits, which is right for tables of many files or row groups.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    split_bytes = 4 << 20
-    size = scanned_bytes(df)
-    if size >= cores * split_bytes:
-        return df
-    tasks = min(cores, math.ceil(size / bytes_per_task))
-    return df.repartition(tasks, *keys) if tasks > 1 else df
+    asked = tasks or df.sparkSession.conf.get("spark.broadsheet.tasks", None)
+    return df.repartition(int(asked), *keys) if asked else df

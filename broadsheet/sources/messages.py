@@ -23,11 +23,15 @@ def kafka_options(
     start: str = "latest",
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Reader options for an explicit topic list or a topic pattern."""
+    """Reader options for an explicit topic list or a topic pattern.
+
+    Offsets that are gone fail the query unless ``fail_on_data_loss`` is off.
+    """
     if (topics is None) == (pattern is None):
         raise ValueError("give either topics or a pattern")
-    options = {"kafka.bootstrap.servers": servers, "startingOffsets": start, "failOnDataLoss": "false"}
+    options = {"kafka.bootstrap.servers": servers, "startingOffsets": start, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if pattern is not None:
         options["subscribePattern"] = pattern
     else:
@@ -75,12 +79,20 @@ def decode(messages: DataFrame, schema: T.StructType = RAW_ARTICLE) -> DataFrame
 
 
 def reject_reason(record: str = "record") -> Column:
-    """NULL for a valid article, else why it is refused. The first failed check counts."""
+    """NULL for a valid article, else why it is refused. The first failed check counts.
+
+    A category that the record lacks is taken from its topic first; a missing
+    ``collected_at`` is filled by the stage's stamp later.
+    """
     reason = F.when(F.col(record).isNull() | F.col(f"{record}.{CORRUPT}").isNotNull(), "malformed json")
     for name in REQUIRED_FIELDS:
-        reason = reason.when(F.col(f"{record}.{name}").isNull(), f"missing {name}")
+        value = F.col(f"{record}.{name}")
+        if name == "category":
+            value = category_or_topic(value, F.col("topic"))
+        reason = reason.when(value.isNull(), f"missing {name}")
     for name in ("published_at", "collected_at"):
-        reason = reason.when(TM.parse_iso(F.col(f"{record}.{name}")).isNull(), f"bad {name}")
+        value = F.col(f"{record}.{name}")
+        reason = reason.when(value.isNotNull() & TM.parse_iso(value).isNull(), f"bad {name}")
     return reason.when(~F.col(f"{record}.url").rlike("^https?://"), "bad url")
 
 

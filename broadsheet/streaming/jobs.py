@@ -21,12 +21,19 @@ from broadsheet.sources import messages as M
 
 
 def read_table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet files of one table; the schema is read from the files."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Stream the parquet files of one table, a folder of part files or a single file.
+
+    The schema is read from the files. A stream reads folders only, so a single file is
+    picked by its name from the folder it lies in.
+    """
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.readStream.schema(table.schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_folder_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:

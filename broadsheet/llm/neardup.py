@@ -40,7 +40,7 @@ AGREE = 34
 BITS_AGREE = 40
 #: Stars are only repeated while postings would yield more pairs than this many times themselves.
 PAIRS_PER_POSTING = 1
-MOST_STARS = 4
+MOST_STARS = 2
 #: Tasks over which one pivot's members may be spread.
 SPREAD = 256
 SETS_AT_ONCE = 1 << 14

@@ -3,18 +3,23 @@
 Every set of shingles gets a MinHash signature. A document is posted under each
 (coordinate, value) pair of its signature. Two documents whose sets have a similarity of 0.8
 agree in 51 of 64 coordinates on average and in fewer than ``AGREE`` = 34 with a probability
-of about 3e-7, so pairs that agree in at least 34 are the candidates.
+of about 3e-7, so documents that meet in at least 34 are the candidates.
 
 * Coordinate values that only one document has are no use and go first. Of the rest each
   document posts its rarest ``shared - AGREE + 1`` only (prefix filter): two documents that
   agree in 34 coordinates still meet in one of these, and postings that half the corpus
   shares are mostly never made.
+* Documents that share a long passage meet in about as many coordinates as true near-duplicates.
+  Those with postings therefore get 4,096 further coordinates, of which one bit each is kept.
+  A link agrees in 3,686 of these bits on average. Pairs are counted over the first 256 bits
+  where they meet (204 must agree) and then over all (3,576: a similarity of 0.746); a link
+  fails one of the two counts with a probability of about 1e-6.
 * Equal sets are one node throughout, whatever the number of copies.
 * A posting is first read as a star: each member against one pivot, its smallest member; then,
   while many pairs are left, against pivots drawn for each posting anew, so a member that the
   first pivot missed meets up to as many others as it has postings. Then postings whose members are still in different components yield their pairs
-  across components (and no others), so no link between components is missed while members
-  of one large group are never paired with each other.
+  across components (and no others), each pair where it meets first, so no link between
+  components is missed while members of one large group are never paired with each other.
 * A candidate pair becomes a link only after its full sets were compared.
 
 Null or word-less texts have an empty set and stay alone. Rows with a null id stay alone and
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +41,21 @@ from broadsheet.llm import tables, words
 
 COORDINATES = 64
 AGREE = 34
-#: Lowest bits of the coordinates that must agree; pairs that agree in AGREE coordinates have
-#: these and half of the others.
-BITS_AGREE = 40
+#: Further coordinates, kept as one bit each in words of 64; how many bits must agree among
+#: the leading words, which postings carry, and among all.
+WORDS, LEADING = 64, 4
+LEADING_AGREE, BITS_AGREE = 204, 3576
+#: Coordinates made from one 32-bit value of a shingle.
+FAMILY = 128
 #: Stars are only repeated while postings would yield more pairs than this many times themselves.
 PAIRS_PER_POSTING = 1
 MOST_STARS = 2
+#: What postings carry of a node.
+CARRIED = ["n", *(f"w{i}" for i in range(LEADING))]
 #: Tasks over which one pivot's members may be spread.
 SPREAD = 256
 SETS_AT_ONCE = 1 << 14
+BITS_AT_ONCE = 1 << 9
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -58,6 +70,48 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (lowest >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def bits(shingles: np.ndarray) -> np.ndarray:
+    """One bit for each of the further coordinates, in words of 64.
+
+    Each half of a scrambled shingle serves ``FAMILY`` coordinates, as multiples in 32 bits.
+    """
+    count = 64 * WORDS
+    factors = (words.seeds(count, 12) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    factors = factors.reshape(-1, FAMILY, 1)
+    lowest = np.full((len(factors), FAMILY), np.iinfo(np.uint32).max, np.uint32)
+    salts = words.seeds(len(factors) // 2, 13)
+    for lo in range(0, len(shingles), BITS_AT_ONCE):
+        for at, salt in enumerate(salts):
+            halves = words.mix(shingles[lo : lo + BITS_AT_ONCE] ^ salt).view(np.uint32).reshape(-1, 2)
+            for half in (0, 1):
+                row = 2 * at + half
+                found = (np.ascontiguousarray(halves[:, half])[None, :] * factors[row]).min(axis=1)
+                np.minimum(lowest[row], found, out=lowest[row])
+    ones = (words.mix(lowest.ravel().astype(np.uint64)) >> np.uint64(63)).astype(np.uint8)
+    return np.packbits(ones).view(np.int64)
+
+
+def bit_words(texts: DataFrame, width: int) -> DataFrame:
+    """id, set size n, the leading words w0, w1, ... and all words of ``bits`` of texts (id, text)."""
+    names = CARRIED[1:]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found = [], []
+            for shingles in words.shingle_sets(batch.column("text"), width):
+                sizes.append(len(shingles))
+                found.append(bits(shingles))
+            table = np.array(found, np.int64).reshape(-1, WORDS)
+            columns = [pa.array(sizes, pa.int64()), *(pa.array(table[:, i]) for i in range(LEADING))]
+            whole = pa.array(list(table), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *columns, whole], names=["id", "n", *names, "words"]
+            )
+
+    leading = ", ".join(f"{name} long" for name in names)
+    return texts.mapInArrow(sketch, f"id long, n long, {leading}, words array<long>")
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, set_key and signature of each row; texts stay in their task."""
 
@@ -84,47 +138,43 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame) -> DataFrame:
-    """(key, id, n, bits): each node under its rarest shared coordinate values.
-
-    bits holds the lowest bit of each coordinate.
-    """
+    """(key, id): each node under its rarest shared coordinate values."""
     posts = nodes.select("id", F.posexplode("sign").alias("at", "value")).select(
         "id", (F.col("at").cast("long") * (1 << 32) + F.col("value")).alias("key")
     )
     shared = posts.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    ranked = (
+    return (
         posts.join(shared, "key")
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct("members", "key"))).alias("posts"))
         .filter(F.size("posts") >= AGREE)
-        .select("id", F.slice("posts", F.lit(1), F.size("posts") - AGREE + 1).alias("posts"))
-    )
-    bits = F.aggregate(
-        "sign", F.lit(0).cast("long"), lambda all, x: F.shiftleft(all, 1).bitwiseOR(x.bitwiseAND(1).cast("long"))
-    )
-    return ranked.join(nodes.select("id", "n", bits.alias("bits")), "id").select(
-        F.explode("posts.key").alias("key"), "id", "n", "bits"
+        .select("id", F.explode(F.slice("posts", F.lit(1), F.size("posts") - AGREE + 1).key).alias("key"))
+        .select("key", "id")
     )
 
 
 def may_agree(left: str, right: str, share: float):
-    """Sizes and lowest bits allow the similarity."""
+    """Sizes and leading bits allow the similarity."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    differ = F.bit_count(F.col(f"{left}.bits").bitwiseXOR(F.col(f"{right}.bits")))
-    return (F.least(n, m) >= share * F.greatest(n, m)) & (differ <= COORDINATES - BITS_AGREE)
+    each = [
+        F.bit_count(F.col(f"{left}.{w}").bitwiseXOR(F.col(f"{right}.{w}"))) for w in CARRIED[1:]
+    ]
+    differ = reduce(lambda x, y: x + y, each)
+    return (F.least(n, m) >= share * F.greatest(n, m)) & (differ <= 64 * LEADING - LEADING_AGREE)
 
 
-def agreeing(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """The pairs whose signatures collide in AGREE coordinates or more."""
-    hits = F.aggregate(
-        F.zip_with("sign_a", "sign_b", lambda x, y: F.when(x == y, 1).otherwise(0)),
-        F.lit(0),
-        lambda total, one: total + one,
-    )
+def all_agree(left: str, right: str):
+    """The whole sketches agree in ``BITS_AGREE`` bits or more."""
+    each = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda total, one: total + one) <= 64 * WORDS - BITS_AGREE
+
+
+def agreeing(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The pairs whose whole sketches agree."""
     return (
-        pairs.join(signs.select(F.col("id").alias("a"), F.col("sign").alias("sign_a")), "a")
-        .join(signs.select(F.col("id").alias("b"), F.col("sign").alias("sign_b")), "b")
-        .filter(hits >= AGREE)
+        pairs.join(sketched.select(F.col("id").alias("a"), F.col("words").alias("words_a")), "a")
+        .join(sketched.select(F.col("id").alias("b"), F.col("words").alias("words_b")), "b")
+        .filter(all_agree("words_a", "words_b"))
         .select("a", "b")
     )
 
@@ -142,8 +192,7 @@ def star_pairs(posts: DataFrame, turn: int, share: float) -> DataFrame:
         (F.col("id") if turn == 0 else F.xxhash64("id", "key", F.lit(turn))).alias("order"),
         "id",
         "comp",
-        "n",
-        "bits",
+        *CARRIED,
     )
     pivots = (
         posts.groupBy("key")
@@ -151,7 +200,7 @@ def star_pairs(posts: DataFrame, turn: int, share: float) -> DataFrame:
         .filter("low < high")
         .select("key", "pivot")
     )
-    met = posts.select("key", F.struct("id", "comp", "n", "bits").alias("one")).join(pivots, "key")
+    met = posts.select("key", F.struct("id", "comp", *CARRIED).alias("one")).join(pivots, "key")
     return (
         met.filter(F.col("one.comp") != F.col("pivot.comp"))
         .filter(may_agree("one", "pivot", share))
@@ -175,15 +224,35 @@ def strays(posts: DataFrame) -> DataFrame:
     return posts.join(main, "key").filter(F.col("comp") != F.col("main"))
 
 
-def stray_pairs(posts: DataFrame, out: DataFrame, share: float) -> DataFrame:
-    """All pairs across components within a posting, each once."""
-    left = out.select("key", "main", F.struct("id", "comp", "n", "bits").alias("one"))
-    right = posts.select("key", F.struct("id", "comp", "n", "bits").alias("two"))
+def stray_pairs(posts: DataFrame, out: DataFrame, sketched: DataFrame, share: float) -> DataFrame:
+    """All agreeing pairs across components within a posting, each once.
+
+    Members without any partner by their leading bits go first; the others take their whole
+    sketches along, so that a pair is only made if it agrees.
+    """
+
+    def met(one: DataFrame, two: DataFrame):
+        """Condition of members of one posting that are apart and may agree."""
+        apart = (F.col("one.key") == F.col("two.key")) & (F.col("one.comp") != F.col("two.comp"))
+        return one.alias("one"), two.alias("two"), apart & may_agree("one", "two", share)
+
+    one, two, condition = met(out.select("key", "main", "id", "comp", *CARRIED), posts)
+    live = tables.written(one.join(two, condition, "left_semi"), "live")
+    one, two, condition = met(posts, live)
+    mates = tables.written(one.join(two, condition, "left_semi"), "mates")
+    ids = live.select("id").union(mates.select("id")).distinct()
+    whole = tables.written(
+        posts.join(ids, "id", "left_semi")
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_set("key")).alias("keys"))
+        .join(sketched.select("id", "words"), "id"),
+        "whole",
+    )
+    one, two, condition = met(live.join(whole, "id"), mates.join(whole, "id"))
+    once = (F.col("two.comp") == F.col("one.main")) | (F.col("one.id") < F.col("two.id"))
+    first = F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key")
     return (
-        left.join(right, "key")
-        .filter(F.col("one.comp") != F.col("two.comp"))
-        .filter((F.col("two.comp") == F.col("main")) | (F.col("one.id") < F.col("two.id")))
-        .filter(may_agree("one", "two", share))
+        one.join(two, condition & once & all_agree("one.words", "two.words") & first)
         .select(*pair_up("one", "two"))
         .distinct()
     )
@@ -290,15 +359,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         ),
         "nodes",
     )
-    posts = tables.written(prefixes(nodes.select("id", "n", "sign")), "postings")
+    posts = tables.written(prefixes(nodes.select("id", "sign")), "postings")
     active = posts.select("id").distinct()
     texts = tables.written(
         docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
         .join(active.hint("shuffle_hash"), "id", "left_semi"),
         "active",
     )
-    signs = tables.written(nodes.select("id", "sign").join(active, "id", "left_semi"), "signs")
-    labels = signs.select("id", F.col("id").alias("comp"))
+    sketched = tables.written(
+        bit_words(texts, width).distinct(), "sketched"
+    )
+    posts = tables.written(posts.join(sketched.select("id", *CARRIED), "id"), "postings")
+    labels = sketched.select("id", F.col("id").alias("comp")).distinct()
     links, turn = None, 0
     while True:
         now = posts.join(labels, "id")
@@ -306,13 +378,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         total = out.agg(F.sum("total").alias("pairs")).first().pairs or 0 if turn else 0
         last = turn > 0 and (turn >= MOST_STARS or total <= PAIRS_PER_POSTING * posts.count())
         if not last:
-            pairs = star_pairs(now, turn, share)
+            pairs = agreeing(star_pairs(now, turn, share), sketched)
         elif total:
-            pairs = stray_pairs(now, out, share)
+            pairs = stray_pairs(tables.written(now, "members"), out, sketched, share)
         else:
             break
         new = tables.written(
-            verified(tables.written(agreeing(pairs, signs), "pairs"), texts, width, percent), "links"
+            verified(tables.written(pairs, "pairs"), texts, width, percent), "links"
         )
         links = new if links is None else links.union(new)
         if last:

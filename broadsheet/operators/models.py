@@ -80,17 +80,27 @@ def sentiment_words(df: DataFrame, model: PipelineModel, key: str = "url", thres
 
 
 def topic_model(
-    df: DataFrame, k: int = 5, seed: int = 7, vocabulary: int = 5000, max_iter: int = 10, words: int = 10
+    df: DataFrame, k: int = 5, seed: int = 7, least_share: float = 0.0005, max_iter: int = 10, words: int = 10
 ) -> DataFrame:
     """LDA over keywords: adds ``topic_analysis`` to every row.
 
-    The vocabulary is the most frequent ``vocabulary`` terms, so the model's size is
-    ``k * vocabulary`` whatever the corpus. The topic words (``k * words`` strings) become
+    Every row takes part in every iteration. The vocabulary is all terms found in at least
+    ``least_share`` of the rows; with n keywords a row these are at most n / ``least_share``,
+    whatever the corpus. The result still depends on the order of terms with equal counts and
+    on the layout of the rows. The topic words (``k * words`` strings) become
     one literal map.
     """
-    counts = CountVectorizer(inputCol="keywords", outputCol="_counts", vocabSize=vocabulary).fit(df)
+    counts = CountVectorizer(inputCol="keywords", outputCol="_counts", minDF=least_share).fit(df)
     vectors = counts.transform(df)
-    lda = LDA(featuresCol="_counts", topicDistributionCol="_topics", k=k, seed=seed, maxIter=max_iter, optimizer="online")
+    lda = LDA(
+        featuresCol="_counts",
+        topicDistributionCol="_topics",
+        k=k,
+        seed=seed,
+        maxIter=max_iter,
+        optimizer="online",
+        subsamplingRate=1.0,
+    )
     model = lda.fit(vectors)
     pairs = []
     for row in model.describeTopics(words).toLocalIterator():

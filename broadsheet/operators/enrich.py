@@ -215,27 +215,3 @@ def stored_summary(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"summary": F.col("summary_info.summary"), "processed_content": F.coalesce(given, F.col("content"))}
     ).drop("summary_info")
-
-
-def word_candidates(df: DataFrame, top_n: int = 30) -> DataFrame:
-    """The ``top_n`` most frequent words (two letters or more) of each text, one row per
-    word with its rank."""
-    kept = [c for c in df.columns if c != "content"]
-    once = X.compute_once(df, "_words", X.keywords_of(F.col("content"), top_n))
-    return once.select(*kept, F.posexplode("_words").alias("rank", "word"))
-
-
-def words_by_label(scored: DataFrame, key: str, labels: Iterable[str], threshold: float = 0.6) -> DataFrame:
-    """Words per label, kept when the winning score exceeds the threshold.
-
-    At most ``top_n`` words per text reach the grouping.
-    """
-    sure = F.col("score") > threshold
-    ordered = [
-        F.transform(
-            F.sort_array(F.collect_list(F.when(sure & (F.col("label") == x), F.struct("rank", "word")))),
-            lambda w: w["word"],
-        ).alias(x)
-        for x in labels
-    ]
-    return scored.groupBy(key).agg(*ordered)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
@@ -15,6 +19,14 @@ from broadsheet.functions import text as X
 from broadsheet.operators import enrich
 from broadsheet.schemas import SENTIMENT_LABELS
 
+#: Scores a list of units (texts, or lists of word codes): one list per unit, in label order.
+Scorer = Callable[[list], "np.ndarray | list[list[float]]"]
+
+
+def word_codes(text: Column, tokenizer: X.Tokenizer = X.letter_tokens) -> Column:
+    """Words as Spark's 32-bit hashes; hashing them again gives the feature (see ``train_sentiment``)."""
+    return F.transform(tokenizer(text), lambda word: F.hash(word))
+
 
 def train_sentiment(
     labelled: DataFrame, features: int = 1 << 14, max_iter: int = 20, tokenizer: X.Tokenizer = X.letter_tokens
@@ -22,14 +34,15 @@ def train_sentiment(
     """Multinomial logistic regression over hashed word counts.
 
     Hashing keeps the model at ``3 * features`` numbers however many words the corpus
-    has; no vocabulary is collected.
+    has; no vocabulary is collected. ``HashingTF`` hashes an integer as ``F.hash`` does, so
+    scoring finds the same feature without a vector column.
     """
     position = F.array_position(F.array(*[F.lit(x) for x in SENTIMENT_LABELS]), F.col("sentiment")) - 1
     rows = labelled.where(F.col("sentiment").isin(*SENTIMENT_LABELS)).select(
-        tokenizer(F.col("content")).alias("tokens"), position.cast("double").alias("label")
+        word_codes(F.col("content"), tokenizer).alias("codes"), position.cast("double").alias("label")
     )
     stages = [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features),
+        HashingTF(inputCol="codes", outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="tfidf"),
         LogisticRegression(
             featuresCol="tfidf",
@@ -42,41 +55,136 @@ def train_sentiment(
     return Pipeline(stages=stages).fit(rows)
 
 
-def class_scores(df: DataFrame, model: PipelineModel, text: str, tokenizer: X.Tokenizer = X.letter_tokens) -> DataFrame:
-    """Add ``scores``: probabilities in label order (a class never seen in training is 0)."""
-    scored = model.transform(df.withColumn("tokens", tokenizer(F.col(text))))
-    once = X.compute_once(scored, "scores", vector_to_array("probability"))
-    padded = F.array(*[F.coalesce(F.get("scores", F.lit(i)), F.lit(0.0)) for i in range(len(SENTIMENT_LABELS))])
-    return once.select(*df.columns, padded.alias("scores"))
+def linear_scorer(model: PipelineModel) -> tuple[Callable[[], Scorer], int]:
+    """The trained pipeline as plain weights (3 numbers a feature), and the number of features.
+
+    Units are lists of feature numbers. A class never seen in training scores 0.
+    """
+    hashing, idf, regression = model.stages
+    weights = regression.coefficientMatrix.toArray() * idf.idf.toArray()
+    bias = regression.interceptVector.toArray()
+
+    def score(units: list) -> np.ndarray:
+        out = np.zeros((len(units), len(SENTIMENT_LABELS)))
+        for row, features in zip(out, units, strict=True):
+            logits = weights[:, np.asarray(features, np.int64)].sum(axis=1) + bias
+            powers = np.exp(logits - logits.max())
+            row[: len(bias)] = powers / powers.sum()
+        return out
+
+    return lambda: score, hashing.getNumFeatures()
 
 
-def analyse_sentiment(df: DataFrame, model: PipelineModel, as_of, key: str = "url") -> DataFrame:
-    """Score the chunks of every text, average them, attach the record.
+def unit_scores(units: Column, load: Callable[[], Scorer], unit_type: str = "string") -> Column:
+    """Scores of an array of units, within the row: a record of ``scores`` and ``error``.
 
-    Three numbers per chunk are shuffled for the mean. The means are joined to ``df`` by
-    key; the texts take part in that join only when the caller selects ``content``,
-    because the check for missing text is made before it.
+    ``load`` is called once per task and returns the scorer, so an external model is loaded
+    there. A scorer that fails on a row, or returns other than one finite score per unit and
+    label, gives that row no scores and the reason. A null or empty array gives neither.
     """
-    chunks = enrich.chunk_rows(df.select(key, "content").where(F.col("content").isNotNull()))
-    scored = class_scores(chunks, model, "chunk")
-    columns = [F.avg(F.get("scores", F.lit(i))).alias(x) for i, x in enumerate(SENTIMENT_LABELS)]
-    means = scored.groupBy(key).agg(*columns)
-    marked = df.withColumn("_reason", enrich.missing_content(F.col("content")))
-    joined = marked.join(means.select(key, F.array(*SENTIMENT_LABELS).alias("_scores")), key, "left")
-    return enrich.attach_sentiment(joined, F.col("_scores"), F.col("_reason"), as_of).drop("_scores", "_reason")
+
+    @F.pandas_udf("scores array<array<double>>, error string")
+    def score_rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = load()
+        for batch in batches:
+            scores, errors = [], []
+            for row in batch:
+                found, error = None, None
+                if row is not None and len(row):
+                    try:
+                        table = np.asarray(scorer(list(row)), float)
+                        if table.shape != (len(row), len(SENTIMENT_LABELS)) or not np.isfinite(table).all():
+                            raise ValueError("not one finite score per unit and label")
+                        found = table.tolist()
+                    except Exception as problem:  # whatever an external model raises
+                        error = f"{type(problem).__name__}: {problem}"
+                scores.append(found)
+                errors.append(error)
+            yield pd.DataFrame({"scores": pd.Series(scores, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    return score_rows(units.cast(f"array<{unit_type}>"))
+
+
+def feature_units(units: Column, features: int, tokenizer: X.Tokenizer = X.letter_tokens) -> Column:
+    """Array of texts to array of arrays of feature numbers."""
+    return F.transform(
+        units, lambda text: F.transform(word_codes(text, tokenizer), lambda code: F.pmod(F.hash(code), F.lit(features)))
+    )
+
+
+def chunk_units() -> Column:
+    """The chunks of ``content``; NULL where it is missing, so that no model sees a NULL text."""
+    return F.when(F.col("content").isNotNull(), X.chunks_of(F.col("content")))
+
+
+def mean_scores(scores: Column) -> Column:
+    """Mean over the units per label; NULL without units."""
+    sums = [
+        F.aggregate(F.transform(scores, lambda one: F.get(one, F.lit(i))), F.lit(0.0), lambda total, x: total + x)
+        for i in range(len(SENTIMENT_LABELS))
+    ]
+    return F.when(F.size(scores) > 0, F.array(*[total / F.size(scores) for total in sums]))
 
 
-def sentiment_words(df: DataFrame, model: PipelineModel, key: str = "url", threshold: float = 0.6) -> DataFrame:
-    """Frequent words of each text, sorted into the label the classifier is sure of.
+def with_scores(df: DataFrame, units: Column, load: Callable[[], Scorer], unit_type: str = "string") -> DataFrame:
+    """Add ``_scored`` (``unit_scores``). The units are a column of their own before they go to Python."""
+    once = X.compute_once(df, "_units", units)
+    return once.withColumn("_scored", unit_scores(F.col("_units"), load, unit_type)).drop("_units")
 
-    Scoring one word with a linear model is cheaper than shuffling words to share
-    scores, and no frequent word becomes a hot join key.
+
+def sentiment_in_row(
+    df: DataFrame, units: Column, load: Callable[[], Scorer], as_of, unit_type: str = "string"
+) -> DataFrame:
+    """Attach the mean of the units' scores; errors become neutral with the reason."""
+    once = with_scores(df, units, load, unit_type)
+    reason = F.coalesce(enrich.missing_content(F.col("content")), F.col("_scored.error"))
+    return enrich.attach_sentiment(once, mean_scores(F.col("_scored.scores")), reason, as_of).drop("_scored")
+
+
+def analyse_sentiment(df: DataFrame, model: PipelineModel, as_of, tokenizer: X.Tokenizer = X.letter_tokens) -> DataFrame:
+    """Score the chunks of every text with the trained model, average them, attach the record.
+
+    All of it stays in the row: no shuffle, one reading of the text, the same in a stream,
+    and two versions of one article keep their own scores.
+    """
+    load, features = linear_scorer(model)
+    units = feature_units(chunk_units(), features, tokenizer)
+    return sentiment_in_row(df, units, load, as_of, "array<int>")
+
+
+def analyse_sentiment_with(df: DataFrame, load: Callable[[], Scorer], as_of) -> DataFrame:
+    """The same with an external model that scores chunk texts."""
+    return sentiment_in_row(df, chunk_units(), load, as_of)
+
+
+def sentiment_words(
+    df: DataFrame,
+    model: PipelineModel,
+    threshold: float = 0.6,
+    top_n: int = 30,
+    tokenizer: X.Tokenizer | None = None,
+) -> DataFrame:
+    """Add one array per label: the frequent words of the text that the classifier is sure of.
+
+    Words are scored one by one within the row; a text without words has empty arrays. The
+    most frequent word comes first.
     """
-    words = enrich.word_candidates(df.select(key, "content"))
-    scored = class_scores(words, model, "word").withColumns(
-        {"label": S.argmax_label(F.col("scores")), "score": F.array_max("scores")}
+    load, features = linear_scorer(model)
+    once = X.compute_once(df, "_words", X.keywords_of(F.col("content"), top_n, tokenizer=tokenizer))
+    units = feature_units(F.col("_words"), features, tokenizer or X.letter_tokens)
+    scored = with_scores(once, units, load, "array<int>")
+    pairs = F.zip_with(
+        "_words", "_scored.scores", lambda word, scores: F.struct(word.alias("word"), scores.alias("scores"))
     )
-    return enrich.words_by_label(scored, key, SENTIMENT_LABELS, threshold)
+
+    def sure(label: str) -> Column:
+        kept = F.filter(
+            pairs,
+            lambda p: (F.array_max(p["scores"]) > threshold) & (S.argmax_label(p["scores"]) == label),
+        )
+        return F.coalesce(F.transform(kept, lambda p: p["word"]), F.array().cast("array<string>"))
+
+    return scored.withColumns({label: sure(label) for label in SENTIMENT_LABELS}).drop("_words", "_scored")
 
 
 def topic_model(

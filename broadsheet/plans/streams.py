@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import text as X
 from broadsheet.functions import topics as TP
-from broadsheet.operators import enrich, store
+from broadsheet.operators import enrich, models, store
 from broadsheet.plans import sqlparts as Q
+from broadsheet.plans import texts
 from broadsheet.plans.registry import query
 from broadsheet.session import fresh_path
 from broadsheet.sources import messages as M
@@ -84,6 +85,14 @@ def stream_fanout(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("stream_sentiment_stage", texts.EXTERNAL_SQL)
+def stream_sentiment_stage(spark, sf_dir):
+    path = fresh_path(spark, "stream-sentiment")
+    analysed = models.analyse_sentiment_with(article_stream(spark, sf_dir), texts.length_rule, NOW)
+    jobs.to_files(analysed, f"{path}/out", f"{path}/checkpoint")
+    return texts.sentiment_columns(spark.read.parquet(f"{path}/out"))
+
+
 @query(
     "stream_upsert",
     f"""WITH {Q.CHANGES.replace('latest AS', 'latest_all AS')},

@@ -196,6 +196,37 @@ def sentiment_keywords(spark, sf_dir):
     return found.select("url", *[F.array_join(x, " ").alias(x) for x in SENTIMENT_LABELS])
 
 
+def length_rule():
+    """A stand-in for an external model: the length of a chunk decides its label."""
+    return lambda chunks: [[float(len(chunk) % 3 == i) for i in range(3)] for chunk in chunks]
+
+
+_BLANK_SQL = f"{Q.strip_sql('content')} = ''"
+EXTERNAL_SQL = f"""WITH {_CHUNKS_SQL}, m AS (
+      SELECT doc_id, avg(CAST(length(chunk) % 3 = 0 AS DOUBLE)) AS a, avg(CAST(length(chunk) % 3 = 1 AS DOUBLE)) AS b,
+        avg(CAST(length(chunk) % 3 = 2 AS DOUBLE)) AS c FROM chunks GROUP BY doc_id),
+    s AS (SELECT url, coalesce({_BLANK_SQL}, true) AS blank, a, b, c FROM articles JOIN m USING (doc_id))
+    SELECT url, CASE WHEN blank THEN 'neutral' WHEN a >= b AND a >= c THEN 'negative' WHEN b >= c THEN 'neutral'
+        ELSE 'positive' END AS sentiment,
+      CASE WHEN blank THEN 0.0 ELSE round(a, 4) END AS negative, CASE WHEN blank THEN 1.0 ELSE round(b, 4) END AS neutral,
+      CASE WHEN blank THEN 0.0 ELSE round(c, 4) END AS positive, CASE WHEN blank THEN 'missing content' END AS error FROM s"""
+
+
+def sentiment_columns(analysed):
+    scores = F.col("sentiment_analysis.overall_sentiment.scores")
+    return analysed.select(
+        "url",
+        S.label_of().alias("sentiment"),
+        *[F.round(scores[x], 4).alias(x) for x in SENTIMENT_LABELS],
+        F.col("sentiment_analysis.error").alias("error"),
+    )
+
+
+@query("sentiment_external_model", EXTERNAL_SQL)
+def sentiment_external_model(spark, sf_dir):
+    return sentiment_columns(models.analyse_sentiment_with(raw(spark, sf_dir), length_rule, NOW))
+
+
 @query(
     "summary_gate",
     f"WITH {Q.ARTICLES} SELECT doc_id, {LONG_SQL} AS long_enough, length({Q.strip_sql('content')}) AS stripped FROM articles",

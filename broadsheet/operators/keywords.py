@@ -26,23 +26,35 @@ def keyword_scores(df: DataFrame, as_of, days: int = 7, limit: int = 20) -> Data
     """Count, document count and ``count * ln((N + 1) / (df + 1))``, best scores first.
 
     Each row is one url, so the first occurrence of a keyword in a row marks its document
-    and no distinct shuffle is needed. N is a scalar subquery.
+    and no distinct shuffle is needed. One more entry per article counts N in the same
+    grouping. N is read from the grouped rows with all of their columns, so Spark reuses
+    the shuffle and the texts are read once.
     """
     window = recent(df, as_of, days, at="processed_at").where(F.size("keywords") > 0)
-    total = window.agg(F.count(F.lit(1))).scalar()
-    marked = window.select(
-        F.explode(
-            F.transform(
-                "keywords",
-                lambda k, i: F.struct(
-                    k.alias("keyword"), (F.array_position("keywords", k) == i + 1).alias("first")
-                ),
-            )
-        ).alias("k")
+    words = F.transform(
+        "keywords",
+        lambda k, i: F.struct(
+            F.lit(False).alias("article"),
+            k.alias("keyword"),
+            (F.array_position("keywords", k) == i + 1).alias("first"),
+        ),
+    )
+    article = F.struct(
+        F.lit(True).alias("article"), F.lit(None).cast("string").alias("keyword"), F.lit(False).alias("first")
     )
-    counted = marked.groupBy("k.keyword").agg(
-        F.count(F.lit(1)).alias("count"), F.count_if("k.first").alias("doc_count")
+    grouped = (
+        window.select(F.explode(F.concat(F.array(article), words)).alias("k"))
+        .groupBy("k.article", "k.keyword")
+        .agg(
+            # An aggregate, so that the filter below stays above the shared shuffle.
+            F.max("k.article").alias("whole"),
+            F.count(F.lit(1)).alias("count"),
+            F.count_if("k.first").alias("doc_count"),
+        )
+        .drop("article")
     )
+    total = grouped.agg(F.max(F.struct("whole", "count", "doc_count", "keyword"))["count"]).scalar()
+    counted = grouped.where(~F.col("whole")).drop("whole")
     score = F.round(F.col("count") * F.log((total + 1) / (F.col("doc_count") + 1)), 6)
     return (
         counted.withColumns({"score": score, "total_articles": total})

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
 from broadsheet.operators import enrich, health, keywords, trends
+from broadsheet.plans import analytics
 from broadsheet.schemas import BATCH_ERROR_MODEL_NAME, SKIPPED_MODEL_NAME
 
 NOW = "2024-01-31 00:00:00"
@@ -132,3 +133,9 @@ def test_health_states(spark):
     assert status([("1", datetime(2024, 1, 29), "success")]) == "warning"
     parts = spark.createDataFrame([("a", "success"), ("b", "warning")], "part string, status string")
     assert health.overall(parts).first().overall_status == "warning"
+
+
+def test_keyword_scores_read_the_texts_once(spark, sf_dir):
+    found = analytics.keyword_scores(spark, sf_dir)
+    found.collect()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()

@@ -68,6 +68,11 @@ def sentiment_trend_map(df: DataFrame, as_of, interval: str = "day", days: int =
     )
 
 
+def time_range(as_of, days: int) -> dict[str, Column]:
+    """Both ends of the window a summary covers."""
+    return {"start": TM.moment(as_of) - F.expr(f"INTERVAL {int(days)} DAYS"), "end": TM.moment(as_of)}
+
+
 def category_summary(df: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Article count and label counts of every known category that has articles."""
     return (
@@ -75,7 +80,7 @@ def category_summary(df: DataFrame, as_of, days: int = 7) -> DataFrame:
         .where(TP.is_known_category(F.col("category")))
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("article_count"), *S.label_counts(S.label_of()))
-        .withColumns({"start": TM.moment(as_of) - F.expr(f"INTERVAL {int(days)} DAYS"), "end": TM.moment(as_of)})
+        .withColumns(time_range(as_of, days))
     )
 
 
@@ -93,7 +98,8 @@ def stats_summary(df: DataFrame, as_of, days: int = 7) -> DataFrame:
     both = per_category.groupingSets([["category"], []], "category").agg(
         F.grouping("category").alias("is_total"), *sums
     )
-    return both.where((F.col("is_total") == 1) | TP.is_known_category(F.col("category")))
+    known = both.where((F.col("is_total") == 1) | TP.is_known_category(F.col("category")))
+    return known.withColumns(time_range(as_of, days))
 
 
 def top_topics(df: DataFrame, as_of, days: int = 7, limit: int = 5) -> DataFrame:

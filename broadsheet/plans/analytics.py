@@ -52,7 +52,7 @@ def category_summary(spark, sf_dir):
     "stats_summary",
     f"""WITH {Q.ARTICLES}, sent AS (
       SELECT CASE WHEN press = 'src7' THEN 'sports' ELSE category END AS category, sentiment, published_at FROM articles)
-    SELECT category, article_count, negative, neutral, positive FROM (
+    SELECT category, article_count, negative, neutral, positive, {WEEK} AS "start", {Q.NOW} AS "end" FROM (
       SELECT category, grouping(category) AS g, count(*) AS article_count, {LABELS_SQL}
       FROM sent WHERE published_at >= {WEEK} GROUP BY GROUPING SETS ((category), ()))
     WHERE g = 1 OR list_contains({Q.quoted(TB.CATEGORIES)}, category)""",

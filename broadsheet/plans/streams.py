@@ -41,7 +41,7 @@ def message_stream(spark, sf_dir):
 )
 def stream_text_stage(spark, sf_dir):
     path = fresh_path(spark, "stream-text")
-    tasks = spark.sparkContext.defaultParallelism
+    tasks = int(spark.conf.get("spark.broadsheet.tasks", "0")) or None  # as in spread
     jobs.text_job(message_stream(spark, sf_dir), NOW, f"{path}/out", f"{path}/checkpoint", Q.STOPWORDS, tasks)
     done = spark.read.parquet(f"{path}/out")
     return done.select(

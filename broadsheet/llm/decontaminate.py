@@ -3,9 +3,9 @@
 A mask reads some of the words in a window and ignores the others, so a window still hits when
 words at ignored places were replaced. All masks are laid on every place of the documents and
 of the benchmark items; equal hashes (same mask, same words read) join them. Around each hit
-the two texts are aligned word by word and the best-scoring stretch is kept: a match counts 1,
-a replaced word -``PENALTY``. A document is contaminated by an item when stretches with at
-least ``LEAST_WORDS`` matching words and ``SIMILARITY`` of their words equal are found.
+the two texts are aligned word by word and the longest stretches with at least ``LEAST_WORDS``
+matching words and ``PERCENT`` of their words equal are taken; any such stretch of an
+alignment makes the item contaminate the document.
 
 The benchmark is sent to the tasks in blocks of at most ``BLOCK_WORDS`` words (a proven bound,
 some 30 MB with its hashes); each block is one pass over the documents, so a benchmark of any
@@ -30,8 +30,7 @@ from broadsheet.llm import words
 #: 1: the word is read, 0: it is ignored.
 MASKS = ("1101100111", "1110010111", "1011111001", "11101111")
 LEAST_WORDS = 12
-SIMILARITY = 0.8
-PENALTY = 3
+PERCENT = 80
 BLOCK_WORDS = 500_000
 BLOCK_CHARS = 16_000_000
 FILTER_BITS = 22
@@ -82,13 +81,24 @@ class Block:
         return np.concatenate(left), np.concatenate(right)
 
 
-def stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Start and end of the best-scoring run of an alignment."""
-    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
-    low = np.minimum.accumulate(score)
-    end = int(np.argmax(score - low))
-    start = int(np.flatnonzero(score[: end + 1] == low[end])[-1])
-    return start, end
+def stretch(equal: np.ndarray) -> tuple[int, int] | None:
+    """Start and end of the longest run of an alignment that meets both limits, if any.
+
+    Cutting replaced words off a run's ends leaves a run that meets the limits as well, so only
+    runs from a match to a match are looked at. For each end the earliest start at which the
+    balance is no higher gives the longest run and the most matches.
+    """
+    at = np.flatnonzero(equal)
+    if len(at) < LEAST_WORDS:
+        return None
+    balance = np.concatenate([[0], np.cumsum(np.where(equal, 100 - PERCENT, -PERCENT))])
+    low = np.minimum.accumulate(balance[at])
+    first = np.searchsorted(-low, -balance[at + 1], "left")
+    met = np.flatnonzero(np.arange(len(at)) - first + 1 >= LEAST_WORDS)
+    if len(met) == 0:
+        return None
+    best = met[np.argmax(at[met] - at[first[met]])]
+    return int(at[first[best]]), int(at[best]) + 1
 
 
 def overlaps(block: Block, hashes: np.ndarray, lo: int, hi: int, at: np.ndarray, to: np.ndarray):
@@ -107,10 +117,11 @@ def overlaps(block: Block, hashes: np.ndarray, lo: int, hi: int, at: np.ndarray,
             if b - a < LEAST_WORDS:
                 continue
             equal = hashes[a + shift : b + shift] == block.hashes[a:b]
-            start, end = stretch(equal)
-            matches = int(equal[start:end].sum())
-            if matches < LEAST_WORDS or matches < SIMILARITY * (end - start):
+            run = stretch(equal)
+            if run is None:
                 continue
+            start, end = run
+            matches = int(equal[start:end].sum())
             yield item, a + start + shift - lo, a + end + shift - lo, a + start, a + end, matches
             parts += [(a, a + start), (a + end, b)]
 

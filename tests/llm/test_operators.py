@@ -161,6 +161,33 @@ def test_decontamination_catches_replaced_words(spark, docs, texts):
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
 
 
+def test_every_run_within_the_limits_is_found(spark):
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        n = int(rng.integers(12, 60))
+        equal = rng.random(n) < rng.choice([0.6, 0.75, 0.85])
+        runs = [
+            (b - a, -a)
+            for a in range(n)
+            for b in range(a + 12, n + 1)
+            if equal[a] and equal[b - 1] and equal[a:b].sum() >= 12 and 10 * equal[a:b].sum() >= 8 * (b - a)
+        ]
+        found = decontaminate.stretch(equal)
+        assert (found is None) == (not runs)
+        if runs:
+            size = max(runs)[0]
+            assert found[1] - found[0] == size and (size, -found[0]) in runs
+    item = [f"w{i}" for i in range(200)]
+    tail = [w if i < 30 or i % 4 else "other" for i, w in enumerate(item)]
+    short = [w if i not in (1, 13) else "other" for i, w in enumerate(item[:16])]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:16]))], "item_id long, text string")
+    texts = spark.createDataFrame([(1, " ".join(tail)), (2, " ".join(short))], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(texts, bench).collect()}
+    assert set(found) == {(1, 1), (1, 2), (2, 1), (2, 2)}
+    assert (found[2, 2].n_matched, found[2, 2].first_word, found[2, 2].last_word) == (14, 0, 16)
+    assert found[1, 1].item_share >= 0.15
+
+
 def luhn(digits):
     return sum((int(c) * 2 - 9 * (int(c) > 4) if i % 2 else int(c)) for i, c in enumerate(digits[::-1])) % 10 == 0
 

@@ -4,16 +4,20 @@ Base kinds are found by patterns. Then the corpus says which other terms reveal
 value: for a value e and a term t near it, the disclosure is the pointwise mutual information
 of the two over the information of e,
 
-    log2(N n(e,t) / (n(e) n(t))) / log2(N / n(e)),
+    log2(p(e|t) N / n(e)) / log2(N / n(e)),  p(e|t) = (n(e,t) + n(e) / N) / (n(t) + 1),
 
 with document counts over the whole corpus: n(e) documents mention e, n(t) contain t, n(e,t)
 have t within ``NEAR`` characters of e. At 1 the term names the value as surely as the value
-itself. Terms at ``DISCLOSES`` or more, met in ``SUPPORT`` documents at least, are spans of the
-kind term: from ``REMOVES`` on they are removed, below they are generalised to [WORD].
+itself. The one document added to n(t), with e as likely as anywhere, holds back what few
+documents say; values and terms of any number of documents take part. A term that reaches
+``DISCLOSES`` for some value is a span of the kind term wherever it stands, near the value or
+in other texts, except inside base spans: from ``REMOVES`` on it is removed, below it is
+generalised to [WORD].
 
 JVM functions only. Contexts are cut around each value, so their number grows with the number
-of values, never with pairs of documents. Null and empty texts have no spans; rows with a null
-id get base spans only. Rows that repeat an id share the terms found in either.
+of values, never with pairs of documents. A filter of ``BITS`` bits over the disclosing terms
+keeps back most other words before places are joined with terms; it only thins. Null and empty
+texts have no spans; rows with a null id or a repeated id are marked by their own text.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 WORD = r"\p{L}{3,}+"
 NEAR = 64
-SUPPORT = 3
+BITS = 1 << 18
 DISCLOSES = 0.8
 REMOVES = 0.95
 
@@ -104,89 +108,115 @@ def based(docs: DataFrame) -> DataFrame:
 
     kinds = enumerate(base_kinds(text).items())
     parts = [placed(rank, kind, found) for rank, (kind, found) in kinds]
-    return docs.select("doc_id", F.array_sort(F.concat(*parts)).alias("found"))
+    return docs.select("doc_id", "hash", F.array_sort(F.concat(*parts)).alias("found"))
+
+
+def named(x: str) -> Column:
+    return F.concat_ws(":", f"{x}.kind", f"{x}.value").alias("value")
 
 
 def nearby(found: DataFrame) -> DataFrame:
-    """(doc_id, value, term, start, end): whole words near each value, with their places."""
-    one = found.select("doc_id", F.explode("found").alias("x")).select(
-        "doc_id",
-        F.concat_ws(":", "x.kind", "x.value").alias("value"),
-        (F.col("x.start") - F.char_length("x.left")).alias("left_at"),
-        F.col("x.end").alias("right_at"),
-        "x.left",
-        "x.right",
+    """(doc_id, hash, value, term): whole words near each value."""
+    one = found.select("doc_id", "hash", F.explode("found").alias("x")).select(
+        "doc_id", "hash", named("x"), "x.left", "x.right"
     )
 
     def words_of(side: str) -> DataFrame:
         cut = F.char_length(side) >= NEAR
         edge = (lambda x: x["start"] == 0) if side == "left" else (lambda x: x["end"] == NEAR)
         whole = F.filter(spans.matches(F.col(side), WORD), lambda x: ~(cut & edge(x)))
-        return one.select("doc_id", "value", F.col(f"{side}_at").alias("at"), F.explode(whole).alias("w"))
+        return one.select("doc_id", "hash", "value", F.explode(whole).alias("w"))
+
+    sides = words_of("left").union(words_of("right"))
+    return sides.select("doc_id", "hash", "value", F.lower("w.value").alias("term")).distinct()
 
-    sides = [words_of("left"), words_of("right")]
-    return sides[0].union(sides[1]).select(
-        "doc_id",
-        "value",
-        F.lower("w.value").alias("term"),
-        (F.col("at") + F.col("w.start")).alias("start"),
-        (F.col("at") + F.col("w.end")).alias("end"),
-    )
+
+def words_of_text() -> Column:
+    return F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
 
 
 def disclosing(rows: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
-    """(value, term, disclosure) of the pairs above the threshold, from counts over all rows."""
+    """(term, disclosure) of the terms above the threshold for some value, from counts over all rows."""
     total = rows.count()
-    pairs = (
-        near.select("value", "term", "doc_id")
-        .distinct()
-        .groupBy("value", "term")
-        .agg(F.count("*").alias("n_both"))
-        .filter(F.col("n_both") >= SUPPORT)
-    )
+    pairs = near.groupBy("value", "term").agg(F.count("*").alias("n_both"))
     values = (
-        found.select("doc_id", F.explode("found").alias("x"))
-        .select("doc_id", F.concat_ws(":", "x.kind", "x.value").alias("value"))
+        found.select("doc_id", "hash", F.explode("found").alias("x"))
+        .select("doc_id", "hash", named("x"))
         .distinct()
         .groupBy("value")
         .agg(F.count("*").alias("n_value"))
-        .filter(F.col("n_value") >= SUPPORT)
+        .filter(F.col("n_value") < total)
     )
     terms = (
-        rows.select(
-            F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term")
-        )
+        rows.select(F.explode(F.array_distinct(F.transform(words_of_text(), F.lower))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
-        .filter(F.col("n_term") >= SUPPORT)
     )
-    information = F.log2(F.lit(total) / F.col("n_value"))
-    shared = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_value") * F.col("n_term")))
+    odds = F.lit(total) / F.col("n_value")
+    given = (F.col("n_both") + 1 / odds) / (F.col("n_term") + 1)
     return (
         pairs.join(values, "value")
         .join(terms, "term")
-        .filter(F.col("n_value") < total)
-        .select("value", "term", (shared / information).alias("disclosure"))
+        .select("term", (F.log2(given * odds) / F.log2(odds)).alias("disclosure"))
         .filter(F.col("disclosure") >= DISCLOSES)
+        .groupBy("term")
+        .agg(F.max("disclosure").alias("disclosure"))
     )
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base and terms: arrays of struct<rank, start, end, kind> and the term's fate."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+def bit(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BITS))
+
+
+def filter_row(terms: DataFrame) -> DataFrame:
+    """One row, ``bits``: an array of 32-bit parts in which each term's bit is set."""
+    at = bit(F.col("term"))
+    parts = (
+        terms.select(F.floor(at / 32).alias("part"), F.call_function("shiftleft", F.lit(1), (at % 32).cast("int")).alias("bits"))
+        .groupBy("part")
+        .agg(F.bit_or("bits").alias("bits"))
+    )
+    every = terms.sparkSession.range(BITS // 32).withColumnRenamed("id", "at")
+    each = every.join(parts, F.col("at") == F.col("part"), "left").select("at", F.coalesce("bits", F.lit(0)).alias("bits"))
+    return each.agg(F.array_sort(F.collect_list(F.struct("at", "bits"))).alias("all")).select(
+        F.col("all.bits").alias("bits")
+    )
+
+
+def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, hash, term, start, end): places of the terms and of few other words in all texts."""
+
+    def maybe(form: Column) -> Column:
+        at = bit(F.lower(form))
+        part = F.get("bits", F.floor(at / 32).cast("int"))
+        return F.call_function("getbit", part, (at % 32).cast("int")) == 1
+
+    forms = rows.crossJoin(F.broadcast(filter_row(terms))).select(
+        "doc_id", "hash", "text", F.filter(words_of_text(), maybe).alias("forms")
+    )
+    # Forms are letters only, and WORD takes whole runs of letters.
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("forms", "|"), F.lit(r")(?!\p{L})"))
+    return (
+        forms.filter(F.size("forms") > 0)
+        .select("doc_id", "hash", F.explode(spans.matches(F.col("text"), pattern)).alias("w"))
+        .select("doc_id", "hash", F.lower("w.value").alias("term"), "w.start", "w.end")
     )
+
+
+def found_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, found and terms: arrays of struct<rank, start, end, kind>, with the term's fate."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
     found = tables.written(based(rows), "base")
-    near = tables.written(nearby(found.filter("doc_id IS NOT NULL")), "near")
-    terms = (
-        near.join(disclosing(rows, found, near), ["value", "term"])
-        .groupBy("doc_id", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy(F.col("doc_id").alias("at"))
+    near = tables.written(nearby(found), "near")
+    terms = tables.written(disclosing(rows, found, near), "terms")
+    marked = (
+        occurrences(rows, terms)
+        .join(terms, "term")
+        .groupBy(F.col("doc_id").alias("at"), F.col("hash").alias("at_hash"))
         .agg(
             F.array_sort(
-                F.collect_list(
+                F.collect_set(
                     F.struct(
                         F.lit(len(KINDS) - 1).alias("rank"),
                         "start",
@@ -198,7 +228,11 @@ def found_spans(docs: DataFrame) -> DataFrame:
             ).alias("terms")
         )
     )
-    return found.join(terms, F.col("doc_id") == F.col("at"), "left").select("doc_id", "found", "terms")
+    same = F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("hash") == F.col("at_hash"))
+    outside = F.filter(
+        "terms", lambda t: ~F.exists("found", lambda x: (x["start"] < t["end"]) & (t["start"] < x["end"]))
+    )
+    return found.join(marked, same, "left").select("doc_id", "found", outside.alias("terms"))
 
 
 def reported(docs: DataFrame) -> DataFrame:

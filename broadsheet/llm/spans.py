@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str | Column) -> Column:
     """array<struct<start, end, value>> of the leftmost non-overlapping matches, in code points.
 
     Splitting at the matches gives the gaps between them; lengths of gaps and matches add up to
     the places.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))  # lit leaves a Column as it is
     lengths = F.zip_with(
         F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
         found,

@@ -234,6 +234,23 @@ def test_terms_that_name_a_value_are_found_and_removed(spark):
     assert cleaned[10].text == rows[6][1]
 
 
+def test_terms_of_rare_values_are_marked_wherever_they_stand(spark):
+    far = "the people walk along the river and talk about the weather every day " * 2
+    rows = [
+        (0, f"Quillon writes from quill@x.example today. {far} then Quillon left"),
+        (1, f"nobody but QUILLON came, {far}"),
+        (None, "Quillon again"),
+        (5, "Quillonette stays"),
+    ]
+    rows += [(10 + i, f"someone writes from home today, then nobody but {far} came again left stays") for i in range(2000)]
+    found = privacy.found_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    terms = {r.doc_id: [(t.start, t.end) for t in r.terms or []] for r in found.filter("doc_id IS NULL OR doc_id < 20").collect()}
+    last = rows[0][1].rindex("Quillon")
+    assert terms[0] == [(0, 7), (last, last + 7)]
+    assert terms[1] == [(11, 18)] and terms[None] == [(0, 7)]
+    assert not any(terms[d] for d in (5, 10, 19))
+
+
 def test_trigram_queries():
     assert secrets.alternatives("AKIA[A-Z]+") == [frozenset({"aki", "kia"})]
     assert frozenset({"api", "key"}) in secrets.alternatives(secrets.ASSIGN)

@@ -315,6 +315,31 @@ def test_bytes_of_earlier_documents_go(docs, texts, empty):
     assert substrings.deduplicated(empty).collect() == []
 
 
+def test_no_task_gathers_the_surroundings_of_one_string(spark):
+    """Each document has its own bytes around one string: windows are dealt out, not that string."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    passage = bytes(rng.integers(97, 123, 60).astype(np.uint8)).decode()
+    sides = ["".join(chr(c) for c in rng.integers(97, 123, 80)) for _ in range(600)]
+    docs = spark.createDataFrame([(i, x[:40] + passage + x[40:]) for i, x in enumerate(sides)], "doc_id long, text string")
+    found = by_id(substrings.deduplicated(docs))
+    first = {}
+    for d, t in by_id(docs).items():
+        gone = {i + k for i in range(len(t.text) - 49) if first.setdefault(t.text[i : i + 50], d) < d for k in range(50)}
+        assert found[d].n_removed == len(gone) >= 60 * (d > 0)
+    same = b"s" * 15
+    bytes_of = [f"{i:015d}".encode() + same * (i < 2) + f"{i:015d}".encode() * (i >= 2) + b"x" * 20 + same + f"{i:015d}"[::-1].encode() for i in range(600)]
+    around = spark.createDataFrame([(i, 30, 0, b) for i, b in enumerate(bytes_of)], substrings.AROUND)
+    plan = substrings.compared(around)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(doc" in plan and "hashpartitioning(one" in plan
+    # The only common window is that of the first two rows.
+    most = substrings.windows(around).groupBy("one", "two").count().agg(F.max("count")).first()[0]
+    assert most == 2
+    found = [substrings.unpack(substrings.SPAN, r.part) for r in substrings.compared(around).collect()]
+    assert [[c.tolist() for c in x] for x in found] == [[[1], [15], [65]]]
+
+
 @pytest.mark.parametrize(
     "model, column, at, least",
     [(quality, "quality", 0.3, 0.9), (toxicity, "toxic", 0.5, 0.85)],

@@ -388,6 +388,28 @@ def test_licences_and_inheritance(spark):
     assert licences.scanned(files.limit(0)).collect() == []
 
 
+def test_usual_headers_tags_and_licence_files(spark):
+    full = {r[1]: r[2] for r in licences.templates() if r[3]}
+    gpl = "This program is free software: you can redistribute it and/or modify\n{0} it under the terms of the GNU General Public License as published by\n{0} the Free Software Foundation, either version 3 of the License, or\n{0} (at your option) any later version."
+    apache = ' * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n * http://www.apache.org/licenses/LICENSE-2.0\n'
+    rows = [
+        ("a", "// SPDX-License-Identifier: MIT\nint x;", {"MIT"}),
+        ("b", "# SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0 OR Apache-2.0)", {"GPL-2.0", "Apache-2.0"}),
+        ("c", "/*\n * My tool\n *\n * " + gpl.format(" *") + "\n */\nint main;", {"GPL-3.0"}),
+        ("d", "/*\n" + apache + " */\nclass A {}", {"Apache-2.0"}),
+        ("e", "MIT License\n\nCopyright (c) 2020 Someone\n", {"MIT"}),
+        ("f", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n", {"GPL-3.0"}),
+        ("g", "we talk about a driving license and permission", {None}),
+    ]
+    rows += [(n, f"Copyright 2021 Another Holder\n\n{t}", {n}) for n, t in full.items()]
+    rows += [(f"n{i}", "Released under the MIT License.", {"MIT"}) for i in range(300)]
+    files = spark.createDataFrame([(n, f"p{n}/x", t) for n, t, _ in rows], "file string, path string, text string")
+    found = defaultdict(set)
+    for r in licences.scanned(files).collect():
+        found[r.file].add(r.licence)
+    assert found == {n: want for n, _, want in rows}
+
+
 def test_pipeline_stages_pass_documents_on(spark, sf_dir):
     import corpus_pipeline
 

@@ -37,6 +37,10 @@ from broadsheet.llm import tables, words
 SHARD_WORDS = 1 << 20
 #: Words of all open shards of a task together; beyond it the largest is closed.
 OPEN_WORDS = 1 << 21
+#: Words of the whole corpus per bucket: a bucket's group of phrases has at most as many entries.
+BUCKET_WORDS = 1 << 22
+#: Ways in which a language's phrases are ranked before its last ranking.
+WAYS = 8
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 SHARD = "shard long, lang string, n_words long, words binary, ids binary"
@@ -308,8 +312,9 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, shard_words: int
     """Word counts (lang, word, code, f), words per lang (lang, n), and for each length from two
     words on the phrases with ``least`` or more occurrences (gram, f)."""
     indexed = shards(docs, shard_words)
-    # A bucket's group shrinks with their number, so it follows the setting that grows with the data.
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One number comes to the driver; buckets grow with the corpus, so their groups do not.
+    total = indexed.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_WORDS + 1)
     counted = tables.written(word_counts(indexed).where(F.col("f") >= least), "phrase-words")
     totals = indexed.groupBy("lang").agg(F.sum("n_words").alias("n"))
     answers = []
@@ -384,7 +389,12 @@ def collocations(
     every = kept[0]
     for part in kept[1:]:
         every = every.unionByName(part)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    best = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    if top is not None:
+        # Ranked in ways first, so that the task of a language reads WAYS * top rows at most.
+        some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(WAYS))).orderBy(*best)
+        every = every.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*best)
     ranked = every.withColumn("rank", F.row_number().over(order).cast("long"))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm import tables, words
 
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Words of all open shards of a task together; beyond it the largest is closed.
-OPEN_WORDS = 1 << 21
+OPEN_WORDS = 1 << 20
 #: Words of the whole corpus per bucket: a bucket's group of phrases has at most as many entries.
 BUCKET_WORDS = 1 << 22
 #: Ways in which a language's phrases are ranked before its last ranking.
@@ -152,11 +152,11 @@ class Index:
     """Phrase intervals of one shard, one word deeper with every call of ``extend``."""
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray):
-        self.ids, self.codes = ids.astype(np.int64), codes
+        self.ids, self.codes = ids.astype(np.int32), codes
         self.depth = 1
         #: Interval of the phrase that starts at each place; -1: none, or not frequent.
         self.label = self.ids - 1
-        self.places = np.argsort(self.ids, kind="stable")
+        self.places = np.argsort(self.ids, kind="stable").astype(np.int32)
         self.places = self.places[np.searchsorted(self.ids[self.places], 1) :]
 
     def extend(self) -> tuple[np.ndarray, np.ndarray]:
@@ -169,8 +169,8 @@ class Index:
         new = np.ones(len(self.places), dtype=bool)
         new[1:] = (symbol[1:] != symbol[:-1]) | (inner[1:] != inner[:-1])
         first = np.flatnonzero(new)
-        self.label = np.full(len(self.ids), -1, dtype=np.int64)
-        self.label[self.places] = np.cumsum(new) - 1
+        self.label = np.full(len(self.ids), -1, dtype=np.int32)
+        self.label[self.places] = np.cumsum(new, dtype=np.int32) - 1
         self.depth += 1
         return self.places[first], np.diff(np.append(first, len(self.places)))
 
@@ -227,6 +227,7 @@ def word_counts(indexed: DataFrame) -> DataFrame:
     return found.groupBy("lang", "word", "code").agg(F.sum("n").alias("f"))
 
 
+PARTS_AT_ONCE = 256
 PART = "owner int, shard long, part binary"
 ANSWER = "shard long, owner int, bits binary, gram array<long>, f long"
 
@@ -255,11 +256,12 @@ def sent(indexed: DataFrame, answers: list[DataFrame], buckets: int) -> DataFram
                 grams = index.grams(at)
                 order, found = dealing(grams, buckets)
                 grams, counts = grams[:, order], counts[order].astype("<u4")
-                parts = [
-                    (owner, row["shard"], b"".join([*(planes(g[x:y]) for g in grams), planes(counts[x:y])]))
-                    for owner, x, y in found
-                ]
-                yield rows_of(parts, PART)
+                for k in range(0, len(found), PARTS_AT_ONCE):
+                    parts = [
+                        (owner, row["shard"], b"".join([*(planes(g[x:y]) for g in grams), planes(counts[x:y])]))
+                        for owner, x, y in found[k : k + PARTS_AT_ONCE]
+                    ]
+                    yield rows_of(parts, PART)
 
     asked = indexed.select("shard", "lang", "words", "ids")
     for level, answer in enumerate(answers, start=2):

@@ -38,7 +38,7 @@ SHARD_WORDS = 1 << 19
 #: Words of all open shards of a task together; beyond it the largest is closed.
 OPEN_WORDS = 1 << 20
 #: Words of the whole corpus per bucket: a bucket's group of phrases has at most as many entries.
-BUCKET_WORDS = 1 << 22
+BUCKET_WORDS = 1 << 20
 #: Ways in which a language's phrases are ranked before its last ranking.
 WAYS = 8
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -279,8 +279,7 @@ def summed(parts: DataFrame, depth: int, least: int) -> DataFrame:
     width = 8 * depth + 4
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        blobs = [x.as_py() for x in table["part"]]
+        blobs = table["part"].to_pylist()
         sizes = [len(b) // width for b in blobs]
         grams = np.concatenate(
             [
@@ -290,6 +289,7 @@ def summed(parts: DataFrame, depth: int, least: int) -> DataFrame:
             axis=1,
         )
         counts = np.concatenate([values(b[8 * depth * n :], "<u4") for b, n in zip(blobs, sizes, strict=True)])
+        del blobs
         order = np.lexsort(grams[::-1])
         ranked = grams[:, order]
         new = np.ones(len(order), dtype=bool)

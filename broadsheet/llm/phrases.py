@@ -14,8 +14,8 @@ bucket (a hash of the phrase); a bucket sums its parts and answers each shard wi
 phrase: frequent in its language or not. Only extensions of frequent phrases are made at
 the next level, so rare phrases of three words and more are never sent.
 
-Words are known by a 64-bit hash with the language in it; two words of a language with equal hashes
-would be counted as one.
+Words and phrases are known by 64-bit codes with the language in them; two of a language with equal
+codes would be counted as one.
 
 Null texts are empty, a null language is ``und``. Repeated rows count each time. Nothing depends on
 which rows share a shard. Of ids, nothing is read.
@@ -23,6 +23,7 @@ which rows share a shard. Of ids, nothing is read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,11 +84,23 @@ class Open:
         data = np.concatenate([p[2] for p in self.parts])
         starts = np.concatenate([p[3] + s for p, s in zip(self.parts, shift, strict=False)])
         ends = np.concatenate([p[4] + s for p, s in zip(self.parts, shift, strict=False)])
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        names = b"\n".join(data[starts[i] : ends[i]].tobytes() for i in first.tolist())
+        _, first, which, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers, whose upper bytes compress to almost nothing.
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(1, len(order) + 1)
+        names = b"\n".join(data[starts[i] : ends[i]].tobytes() for i in first[order].tolist())
         ids = np.zeros(len(hashes) + int(opens.sum()), dtype="<u4")
-        ids[np.arange(len(hashes)) + np.cumsum(opens)] = which + 1
-        return shard, lang, len(hashes), names, planes(ids)
+        ids[np.arange(len(hashes)) + np.cumsum(opens)] = rank[which]
+        return shard, lang, len(hashes), zlib.compress(names, 1), zlib.compress(planes(ids), 1)
+
+
+def sequence(row: dict) -> np.ndarray:
+    return values(zlib.decompress(row["ids"]), "<u4")
+
+
+def word_list(row: dict) -> list[bytes]:
+    return zlib.decompress(row["words"]).split(b"\n")
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -104,7 +117,6 @@ def values(blob: bytes, kind: str) -> np.ndarray:
 def rows_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {
         "int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(),
-        "array<long>": pa.list_(pa.int64()),
     }
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
@@ -175,8 +187,12 @@ class Index:
         return self.places[first], np.diff(np.append(first, len(self.places)))
 
     def grams(self, at: np.ndarray) -> np.ndarray:
-        """Word codes of the phrases that start at the given places, a row for each word."""
-        return np.stack([self.codes[self.ids[at + k] - 1] for k in range(self.depth)])
+        """Two codes for each phrase that starts at the given places: its first word, the rest."""
+        word = [self.codes[self.ids[at + k] - 1] for k in range(self.depth)]
+        rest = word[-1]
+        for first in word[-2:0:-1]:
+            rest = phrase_code(first, rest)
+        return np.stack([word[0], rest])
 
     def keep(self, frequent: np.ndarray) -> None:
         """Drop the intervals of phrases that are not frequent."""
@@ -184,9 +200,14 @@ class Index:
         self.label[live] = np.where(frequent[self.label[live]], self.label[live], -1)
 
 
-def codes_of(names: bytes, lang: str) -> np.ndarray:
-    salt = xxhash.xxh3_64_intdigest(lang.encode())
-    return np.array([xxhash.xxh3_64_intdigest(w, seed=salt) for w in names.split(b"\n")], dtype=np.uint64)
+def codes_of(row: dict) -> np.ndarray:
+    salt = xxhash.xxh3_64_intdigest(row["lang"].encode())
+    return np.array([xxhash.xxh3_64_intdigest(w, seed=salt) for w in word_list(row)], dtype=np.uint64)
+
+
+def phrase_code(first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """A phrase's 64-bit code from the codes of its first word and of the rest."""
+    return words.mix(words.mix(rest * words.MULTIPLIER) + first)
 
 
 def owners(grams: np.ndarray, buckets: int) -> np.ndarray:
@@ -211,12 +232,12 @@ def word_counts(indexed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                codes = codes_of(row["words"], row["lang"]).view(np.int64)
-                counts = np.bincount(values(row["ids"], "<u4"), minlength=len(codes) + 1)[1:]
+                codes = codes_of(row).view(np.int64)
+                counts = np.bincount(sequence(row), minlength=len(codes) + 1)[1:]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["lang"]] * len(codes)),
-                        pa.array([w.decode() for w in row["words"].split(b"\n")]),
+                        pa.array([w.decode() for w in word_list(row)]),
                         pa.array(codes),
                         pa.array(counts, pa.int64()),
                     ],
@@ -229,7 +250,9 @@ def word_counts(indexed: DataFrame) -> DataFrame:
 
 PARTS_AT_ONCE = 256
 PART = "owner int, shard long, part binary"
-ANSWER = "shard long, owner int, bits binary, gram array<long>, f long"
+ANSWER = "shard long, owner int, bits binary, first long, rest long, code long, f long"
+#: A phrase in a part: the codes of its first word and of the rest, and its count.
+ENTRY_BYTES = 20
 
 
 def sent(indexed: DataFrame, answers: list[DataFrame], buckets: int) -> DataFrame:
@@ -243,7 +266,7 @@ def sent(indexed: DataFrame, answers: list[DataFrame], buckets: int) -> DataFram
         for batch in batches:
             for i in range(len(batch)):
                 row = batch.slice(i, 1).to_pylist()[0]
-                index = Index(values(row["ids"], "<u4"), codes_of(row["words"], row["lang"]))
+                index = Index(sequence(row), codes_of(row))
                 for level in range(2, depth):
                     at, _ = index.extend()
                     order, found = dealing(index.grams(at), buckets)
@@ -274,37 +297,32 @@ def sent(indexed: DataFrame, answers: list[DataFrame], buckets: int) -> DataFram
     return asked.mapInArrow(run, PART)
 
 
-def summed(parts: DataFrame, depth: int, least: int) -> DataFrame:
+def summed(parts: DataFrame, least: int) -> DataFrame:
     """Add up each bucket: bits for every shard that sent a part, and the frequent phrases."""
-    width = 8 * depth + 4
 
     def run(table: pa.Table) -> pa.Table:
         blobs = table["part"].to_pylist()
-        sizes = [len(b) // width for b in blobs]
-        grams = np.concatenate(
-            [
-                np.stack([values(b[8 * k * n : 8 * (k + 1) * n], "<u8") for k in range(depth)])
-                for b, n in zip(blobs, sizes, strict=True)
-            ],
-            axis=1,
-        )
-        counts = np.concatenate([values(b[8 * depth * n :], "<u4") for b, n in zip(blobs, sizes, strict=True)])
-        del blobs
-        order = np.lexsort(grams[::-1])
-        ranked = grams[:, order]
+        sizes = [len(b) // ENTRY_BYTES for b in blobs]
+        ends = list(zip(blobs, sizes, strict=True))
+        first = np.concatenate([values(b[: 8 * n], "<u8") for b, n in ends])
+        rest = np.concatenate([values(b[8 * n : 16 * n], "<u8") for b, n in ends])
+        counts = np.concatenate([values(b[16 * n :], "<u4") for b, n in ends])
+        del blobs, ends
+        order = np.lexsort((rest, first))
+        first, rest = first[order], rest[order]
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (ranked[:, 1:] != ranked[:, :-1]).any(axis=0)
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order].astype(np.int64), first)
+        new[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
+        starts = np.flatnonzero(new)
+        total = np.add.reduceat(counts[order].astype(np.int64), starts)
         frequent = np.zeros(len(order), dtype=bool)
         frequent[order] = (total >= least)[np.cumsum(new) - 1]
-        shards_, owner, rows, at = table["shard"].to_pylist(), table["owner"][0].as_py(), [], 0
-        for shard, n in zip(shards_, sizes, strict=True):
-            rows.append((shard, owner, np.packbits(frequent[at : at + n]).tobytes(), None, None))
+        owner, rows, at = table["owner"][0].as_py(), [], 0
+        for shard, n in zip(table["shard"].to_pylist(), sizes, strict=True):
+            rows.append((shard, owner, np.packbits(frequent[at : at + n]).tobytes(), None, None, None, None))
             at += n
-        kept = first[total >= least]
-        for gram, f in zip(ranked[:, kept].view(np.int64).T.tolist(), total[total >= least].tolist(), strict=True):
-            rows.append((None, None, None, gram, f))
+        kept = starts[total >= least]
+        codes = [x.view(np.int64).tolist() for x in (first[kept], rest[kept], phrase_code(first[kept], rest[kept]))]
+        rows.extend((None, None, None, *x) for x in zip(*codes, total[total >= least].tolist(), strict=True))
         return pa.Table.from_batches([rows_of(rows, ANSWER)])
 
     return parts.groupBy("owner").applyInArrow(run, ANSWER)
@@ -319,10 +337,14 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, shard_words: int
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_WORDS + 1)
     counted = tables.written(word_counts(indexed).where(F.col("f") >= least), "phrase-words")
     totals = indexed.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    answers = []
+    answers, levels = [], []
+    rests = counted.select(F.col("code").alias("rest"), F.array("code").alias("tail"))
     for depth in range(2, longest + 1):
-        answers.append(tables.written(summed(sent(indexed, answers, buckets), depth, least), f"phrases-{depth}"))
-    levels = [a.where(F.col("gram").isNotNull()).select("gram", "f") for a in answers]
+        answers.append(tables.written(summed(sent(indexed, answers, buckets), least), f"phrases-{depth}"))
+        level = answers[-1].where(F.col("first").isNotNull()).join(rests, "rest")
+        level = level.select("code", F.concat(F.array("first"), "tail").alias("gram"), "f")
+        levels.append(level.select("gram", "f"))
+        rests = level.select(F.col("code").alias("rest"), F.col("gram").alias("tail"))
     return counted, totals, levels
 
 

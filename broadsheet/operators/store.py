@@ -63,11 +63,20 @@ def newest_per_group(df: DataFrame, group: str, limit: int, skip: int = 0) -> Da
     return ranked.where(F.col("rank") > skip)
 
 
+def has_map(kind: T.DataType) -> bool:
+    """Whether a type is a map or holds one; such columns have no hash."""
+    if isinstance(kind, T.ArrayType):
+        return has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def latest_per_key(incoming: DataFrame, key: str = "url", order: str = "ingest_seq") -> DataFrame:
     """Last write per key. Keeping rank 1 is a per-task group limit before the shuffle, so
     a key with very many copies is thinned where it is read. Of writes with an equal
-    ``order`` the one with the largest hash of its columns counts (maps left out)."""
-    hashed = [f.name for f in incoming.schema.fields if not isinstance(f.dataType, T.MapType)]
+    ``order`` the one with the largest hash of its columns counts (maps by their JSON text)."""
+    hashed = [F.to_json(f.name) if has_map(f.dataType) else F.col(f.name) for f in incoming.schema.fields]
     window = Window.partitionBy(key).orderBy(F.desc(order), F.desc(F.xxhash64(*hashed)))
     return incoming.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 

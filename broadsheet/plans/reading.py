@@ -174,12 +174,6 @@ def articles_page(spark, sf_dir):
     return rows.select(*CARD, "total")
 
 
-@query("article_by_url", f"WITH {Q.ARTICLES} SELECT {CARD_SQL} FROM articles WHERE url = 'https://example.org/a/42'")
-def article_by_url(spark, sf_dir):
-    wanted = spark.range(1).select(F.url_decode(F.lit("https%3A%2F%2Fexample.org%2Fa%2F42"))).scalar()
-    return TB.articles(spark, sf_dir).where(F.col("url") == wanted).select(*CARD)
-
-
 @query(
     "articles_by_category",
     f"""WITH {Q.ARTICLES} SELECT {CARD_SQL} FROM articles WHERE category = 'it'

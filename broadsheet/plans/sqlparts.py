@@ -64,6 +64,18 @@ messages AS (
   FROM staged)"""
 
 
+#: What the four stage tables hold after both editions of every article came in.
+STAGE_ROWS = f"""{MESSAGES},
+stage_rows AS (
+  SELECT CASE stage WHEN 'raw' THEN 'news_articles' ELSE stage || '_articles' END AS table_name, url, title,
+    press || '-late' AS press, category, published_at, collected_at,
+    CASE WHEN doc_id % 5 <> 0 THEN array_to_string(string_split(title, ' ')[:2], ' ') END AS keywords,
+    CASE WHEN stage <> 'raw' THEN CASE WHEN doc_id % 4 = 0 THEN {NOW} ELSE processed_at END END AS processed_at,
+    CASE WHEN stage = 'sentiment' THEN sentiment END AS sentiment,
+    CASE WHEN stage = 'summary' THEN title END AS summary
+  FROM messages WHERE topic LIKE 'news.%' AND reject_reason IS NULL AND (stage <> 'summary' OR n_chars % 7 <> 0))"""
+
+
 TOPICS = f"""{ARTICLES},
 topics AS (
   SELECT *, list_distinct([CAST(doc_id % 5 AS INT), CAST(n_chars % 5 AS INT)]) AS main_topics FROM enriched),

@@ -49,13 +49,28 @@ SUMMARY_INFO = T.StructType(
     ]
 )
 
-TOPIC_ANALYSIS = T.StructType(
+SENTIMENT_WIRE = T.StructType(
     [
-        T.StructField("topic_distribution", T.ArrayType(T.DoubleType())),
-        T.StructField("main_topics", T.ArrayType(T.IntegerType())),
-        T.StructField("topic_keywords", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
+        *SENTIMENT_ANALYSIS.fields,
+        T.StructField("sentiment", T.StringType()),
+        T.StructField("scores", T.MapType(T.StringType(), T.DoubleType())),
     ]
 )
+"""Both written shapes of the sentiment record: nested, or label and scores at its top."""
+
+STAGED_ARTICLE = T.StructType(
+    [
+        *RAW_ARTICLE.fields,
+        T.StructField("processed_at", T.StringType()),
+        T.StructField("sentiment_analysis", SENTIMENT_WIRE),
+        T.StructField("sentiment_processed_at", T.StringType()),
+        T.StructField("summary_info", T.StructType([T.StructField("summary", T.StringType())])),
+        T.StructField("summary", T.StringType()),
+        T.StructField("processed_content", T.StringType()),
+        T.StructField("summary_processed_at", T.StringType()),
+    ]
+)
+"""Wire form of an article of any stage; each stage fills its own fields."""
 
 REQUIRED_FIELDS = ("title", "content", "url", "press", "category", "published_at")
 
@@ -95,6 +110,15 @@ STAGE_TIME_COLUMN = {
     "summary": "summary_processed_at",
 }
 
+# Columns of each stage's table: a stage adds to what the earlier ones store.
+RAW_COLUMNS = ("url", "title", "content", "press", "category", "published_at", "collected_at", "keywords")
+STAGE_COLUMNS = {
+    "raw": RAW_COLUMNS,
+    "processed": (*RAW_COLUMNS, "processed_at"),
+    "sentiment": (*RAW_COLUMNS, "processed_at", "sentiment_analysis", "sentiment_processed_at"),
+    "summary": (*RAW_COLUMNS, "processed_at", "summary", "processed_content", "summary_processed_at"),
+}
+
 SENTIMENT_LABELS = ("negative", "neutral", "positive")
 
 MIN_TEXT_FOR_SUMMARY = 100

@@ -59,6 +59,12 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

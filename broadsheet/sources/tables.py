@@ -113,8 +113,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(labelled(spark, sf_dir))
 
 
-def as_messages(a: DataFrame) -> DataFrame:
-    """Topic and JSON value per labelled article, with faults where the data has them.
+def as_messages(a: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Topic and JSON value per labelled article, with faults where the data has them; columns
+    named by ``keep`` stay beside them.
 
     The language picks the stage. Documents of source 7 carry an unknown category and
     those of source 9 another topic shape. Toxic documents arrive as cut-off JSON, low
@@ -148,6 +149,56 @@ def as_messages(a: DataFrame) -> DataFrame:
         topic.alias("topic"),
         F.when(F.col("toxic") == 1, broken).otherwise(value).alias("value"),
         F.col("doc_id").alias("offset"),
+        *keep,
+    )
+
+
+def as_sink_messages(a: DataFrame) -> DataFrame:
+    """Two editions of every article as messages of its stage, each with that stage's fields.
+
+    Topics, cut-off JSON and ftp urls are those of ``as_messages``. The late edition names another
+    press and every fifth one no keywords. One in four lacks its stage's time, one summary in seven
+    its text; odd articles carry the sentiment record in its flat shape.
+    """
+    sent = as_messages(a, keep=["doc_id", "n_chars", "toxic", "quality", "press", "title", "content", "url", "category"]
+                       + ["published_at", "collected_at", "processed_at", "sentiment", "sentiment_analysis"])
+    late = F.col("edition") == 2
+    stage = F.element_at(F.split("topic", r"\."), -1)
+    nested = F.col("sentiment_analysis.overall_sentiment")
+    own_time = F.when(F.col("doc_id") % 4 != 0, TM.iso(F.col("processed_at")))
+    odd = F.col("doc_id") % 2 == 1
+    value = F.to_json(
+        F.struct(
+            "title",
+            "content",
+            F.when(F.col("quality") == 0, F.concat(F.lit("ftp://example.org/a/"), F.col("doc_id"))).otherwise(F.col("url")).alias("url"),
+            F.when(late, F.concat("press", F.lit("-late"))).otherwise(F.col("press")).alias("press"),
+            "category",
+            TM.iso(F.col("published_at")).alias("published_at"),
+            TM.iso(F.col("collected_at")).alias("collected_at"),
+            F.when(~late | (F.col("doc_id") % 5 != 0), F.slice(F.split("title", " "), 1, 2)).alias("keywords"),
+            F.when(stage != "raw", own_time).alias("processed_at"),
+            F.when(
+                (stage == "sentiment") & nested.isNotNull(),
+                F.struct(
+                    F.when(~odd, nested).alias("overall_sentiment"),
+                    F.when(odd, nested["sentiment"]).alias("sentiment"),
+                    F.when(odd, nested["scores"]).alias("scores"),
+                ),
+            ).alias("sentiment_analysis"),
+            F.when(stage == "sentiment", own_time).alias("sentiment_processed_at"),
+            F.when(
+                (stage == "summary") & (F.col("n_chars") % 7 != 0), F.struct(F.col("title").alias("summary"))
+            ).alias("summary_info"),
+            F.when(stage == "summary", own_time).alias("summary_processed_at"),
+        )
+    )
+    editions = sent.withColumn("edition", F.explode(F.array(F.lit(1), F.lit(2))))
+    broken = F.substring(value, F.lit(1), F.length(value) - 1)
+    return editions.select(
+        "topic",
+        F.when(F.col("toxic") == 1, broken).otherwise(value).alias("value"),
+        (F.col("doc_id") * 2 + F.col("edition")).alias("offset"),
     )
 
 

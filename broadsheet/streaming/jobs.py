@@ -16,7 +16,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import topics as TP
-from broadsheet.operators import enrich, store
+from broadsheet.operators import enrich, sink, store
+from broadsheet.schemas import STAGES
+from broadsheet.session import file_system
 from broadsheet.sources import messages as M
 
 
@@ -30,8 +32,8 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, files_per_tri
     reader = spark.readStream.schema(table.schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    files = table.inputFiles()
-    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+    fs, path = file_system(spark, f"{folder}/{name}.parquet")
+    if fs.getFileStatus(path).isFile():
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(f"{folder}/{name}.parquet")
 
@@ -132,6 +134,21 @@ def archive_job(messages: DataFrame, path: str, checkpoint: str) -> None:
     to_files(named, path, checkpoint, ["category"], fmt="json")
 
 
+def sink_job(
+    messages: DataFrame, path: str, checkpoint: str, as_of, stages: Sequence[str] = STAGES, fold_every: int = 10
+) -> None:
+    """Messages of all stages into the stage tables: every batch to the log, every ``fold_every``
+    batches (and at the end) the log into the tables. Path and checkpoint belong together."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.log_batch(batch, batch_id, path, as_of, stages)
+        if (batch_id + 1) % fold_every == 0:
+            sink.fold(batch.sparkSession, path, stages)
+
+    drain(messages.writeStream.foreachBatch(write), checkpoint)
+    sink.fold(messages.sparkSession, path, stages)
+
+
 # --- keyed sinks -----------------------------------------------------------
 
 

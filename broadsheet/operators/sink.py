@@ -113,7 +113,7 @@ def log_rows(spark: SparkSession, path: str, table: str, batches: Sequence[int],
     if not folders:
         return None
     rows = spark.read.option("basePath", f"{path}/log").parquet(*folders)
-    return rows.withColumn("_order", F.struct(F.col("batch_id").cast("long"), order))
+    return rows.withColumn("_order", F.struct(F.col("batch_id").cast("long").alias("batch_id"), order))
 
 
 def rejected(spark: SparkSession, path: str) -> DataFrame | None:

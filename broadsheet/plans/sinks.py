@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
-from broadsheet.operators import sink, views
+from broadsheet.functions import topics as TP
+from broadsheet.operators import index, ledger, search, sink, views
 from broadsheet.plans import sqlparts as Q
 from broadsheet.plans.registry import query
 from broadsheet.schemas import STAGE_RETENTION_DAYS, STAGE_TABLES
 from broadsheet.session import fresh_path
+from broadsheet.sources import messages as M
 from broadsheet.sources import tables as TB
 from broadsheet.sources.keyed import KeyedTable
 from broadsheet.streaming import jobs
@@ -204,3 +206,74 @@ def serving_trending(spark, sf_dir):
 )
 def serving_distribution(spark, sf_dir):
     return views.distribution(views.counts(spark, corrected_views(spark, sf_dir), "articles"), NOW, days=14)
+
+
+# --- archive with a ledger -----------------------------------------------------
+
+
+@query(
+    "archive_ledger",
+    rf"""WITH {Q.MESSAGES}, raw AS (SELECT * FROM messages WHERE regexp_matches(topic, 'news\..*\.raw')),
+    half AS (SELECT max(doc_id) // 2 AS h FROM raw)
+    SELECT topic, split_part(topic, '.', 2) AS category, doc_id % 3 AS "partition", doc_id AS message_no,
+      CASE WHEN coalesce(toxic, 0) <> 1 THEN title END AS title,
+      (SELECT count(*) FROM raw, half WHERE doc_id <= h) AS first_run, (SELECT count(*) FROM raw, half WHERE doc_id > h) AS second_run,
+      0 AS third_run
+    FROM raw""",
+)
+def archive_ledger(spark, sf_dir):
+    """A first run up to an offset, a replay from the start, and one more: every message once."""
+    path = fresh_path(spark, "ledger")
+    raw = M.by_pattern(TB.messages(spark, sf_dir), TP.RAW_PATTERN).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    half = raw.agg((F.max("offset") / 2).cast("long").alias("h")).first().h or 0
+    runs = [ledger.archive(raw.where(F.col("offset") <= half), path), ledger.archive(raw, path), ledger.archive(raw, path)]
+    rows = M.decode(ledger.stored(spark, path))
+    whole = F.col(f"record.{M.CORRUPT}").isNull()
+    counts = {n: F.lit(c).cast("long") for n, c in zip(("first_run", "second_run", "third_run"), runs, strict=True)}
+    return rows.select(
+        "topic", "category", "partition", F.col("offset").alias("message_no"), F.when(whole, F.col("record.title")).alias("title")
+    ).withColumns(counts)
+
+
+# --- search over the index -----------------------------------------------------
+
+CARD = ("url", "title", "press", "category", "published_at")
+
+
+@query(
+    "search_indexed",
+    f"""WITH {Q.keyword_ctes()}, hits AS (
+      SELECT * FROM kw
+      WHERE (contains(lower(title), 'th') OR contains(lower(title), 'on') OR list_has_any(keywords, ['th', 'on']))
+        AND category IN ('economy', 'society', 'it') AND sentiment IN ('positive', 'neutral')
+        AND published_at BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00'
+        AND list_has_all(keywords, ['is']) AND NOT list_has_any(keywords, ['des']))
+    SELECT {", ".join(CARD)}, (SELECT count(*) FROM hits) AS total FROM hits ORDER BY published_at DESC, url LIMIT 20""",
+)
+def search_indexed(spark, sf_dir):
+    path = fresh_path(spark, "index")
+    index.build(TB.with_keywords(TB.labelled(spark, sf_dir), Q.STOPWORDS), path)
+    request = search.SearchRequest(
+        query="th on",
+        categories=["economy", "society", "it"],
+        sentiments=["positive", "neutral"],
+        start_date="2024-01-02 00:00:00",
+        end_date="2024-01-28 00:00:00",
+        include_keywords=["is"],
+        exclude_keywords=["des"],
+    )
+    return index.find(spark, path, request).select(*CARD, "total")
+
+
+@query(
+    "index_terms",
+    f"""WITH {Q.keyword_ctes()} SELECT 'keyword' AS field, term, count(*) AS articles
+    FROM (SELECT unnest(keywords) AS term FROM kw) GROUP BY term
+    UNION ALL SELECT 'title', term, count(*) FROM (
+      SELECT unnest(list_distinct(string_split_regex(lower(title), '[ \t\n\x0B\f\r]+'))) AS term FROM kw) WHERE term <> '' GROUP BY term""",
+)
+def index_terms(spark, sf_dir):
+    """Articles per title word and keyword, read from the index alone."""
+    path = fresh_path(spark, "index")
+    index.build(TB.with_keywords(TB.labelled(spark, sf_dir), Q.STOPWORDS), path)
+    return index.postings(spark, path).groupBy("field", "term").agg(F.count(F.lit(1)).alias("articles"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
@@ -11,10 +13,11 @@ from broadsheet.operators import enrich, models, store
 from broadsheet.plans import sqlparts as Q
 from broadsheet.plans import texts
 from broadsheet.plans.registry import query
+from broadsheet.schemas import STAGES
 from broadsheet.session import fresh_path
 from broadsheet.sources import messages as M
 from broadsheet.sources import tables as TB
-from broadsheet.streaming import jobs
+from broadsheet.streaming import jobs, progress
 
 NOW = TB.AS_OF
 LONG_DELAY = "60 days"
@@ -168,3 +171,70 @@ def stream_sentiment_trend(spark, sf_dir):
     counts = jobs.live_sentiment(labelled_stream(spark, sf_dir), LONG_DELAY)
     jobs.keep_latest(counts, f"{path}/out", f"{path}/checkpoint")
     return jobs.latest_counts(spark, f"{path}/out", ["bucket_start"], list(_LABELS))
+
+
+# --- progress of articles and trending words -----------------------------------
+
+PATIENCE = timedelta(hours=6)
+
+
+@query(
+    "stream_stage_state",
+    f"""WITH {Q.ARTICLES}, ev AS (
+      SELECT url, 'raw' AS stage, collected_at AS "at" FROM enriched
+      UNION ALL SELECT url, 'processed', processed_at FROM enriched WHERE coalesce(toxic, 0) <> 1
+      UNION ALL SELECT url, 'sentiment', published_at + INTERVAL 2 HOUR FROM enriched WHERE sentiment IS NOT NULL
+      UNION ALL SELECT url, 'summary', published_at + INTERVAL 3 HOUR FROM enriched WHERE n_chars % 7 <> 0),
+    seen AS (SELECT url, list(stage) AS stages, min("at") AS begun FROM ev GROUP BY url)
+    SELECT url, 'stage' AS event, stage AS stages, "at" FROM ev
+    UNION ALL
+    SELECT url, 'late', array_to_string(list_filter({Q.quoted(STAGES)}, lambda s: NOT list_contains(stages, s)), ' '),
+      begun + INTERVAL 6 HOUR FROM seen
+    WHERE len(stages) < 4 AND begun + INTERVAL 6 HOUR <= (SELECT max("at") - INTERVAL 1 HOUR FROM ev)""",
+)
+def stream_stage_state(spark, sf_dir):
+    """Stages of every article, each message delivered twice, and who is late when the stream ends."""
+    path = fresh_path(spark, "stream-progress")
+    hours = {"sentiment": 2, "summary": 3}
+    at = {s: F.col("published_at") + F.expr(f"INTERVAL {h} HOURS") for s, h in hours.items()}
+    sent = {
+        "raw": F.col("collected_at"),
+        "processed": F.when(F.coalesce(F.col("toxic"), F.lit(0)) != 1, F.col("processed_at")),
+        "sentiment": F.when(S.label_of().isNotNull(), at["sentiment"]),
+        "summary": F.when(F.col("n_chars") % 7 != 0, at["summary"]),
+    }
+    stages = F.array(*[F.struct(F.lit(s).alias("stage"), t.alias("at")) for s, t in sent.items()])
+    twice = F.explode(F.array_repeat(F.lit(0), 2)).alias("delivery")
+    events = labelled_stream(spark, sf_dir).select("url", F.explode(stages).alias("e")).where("e.at IS NOT NULL")
+    events = events.select("url", "e.stage", "e.at", twice)
+    told = progress.stage_progress(events, PATIENCE, timedelta(days=60), delay="1 hour")
+    jobs.to_files(told, f"{path}/out", f"{path}/checkpoint")
+    done = spark.read.schema(progress.EVENTS).parquet(f"{path}/out")
+    return done.withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query(
+    "stream_trending",
+    f"""WITH {Q.keyword_ctes()}, signed AS (
+      SELECT processed_at, unnest(CASE WHEN toxic = 1 THEN ['retracted'] ELSE keywords END) AS keyword FROM kw),
+    windowed AS (
+      SELECT date_trunc('day', processed_at)::TIMESTAMP + to_days(CAST(d AS INT)) AS window_end, keyword, count(*) AS "count"
+      FROM signed, (SELECT unnest(range(1, 8)) AS d) days WHERE keyword <> '' GROUP BY ALL)
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY "count" DESC, keyword) AS rank FROM windowed) WHERE rank <= 10""",
+)
+def stream_trending(spark, sf_dir):
+    """Keywords of all articles; a correction takes those of the toxic ones back."""
+    path = fresh_path(spark, "stream-trending")
+    articles = TB.with_keywords(labelled_stream(spark, sf_dir), Q.STOPWORDS)
+    toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
+
+    def counted(words, n):
+        return F.transform(words, lambda k: F.struct(k.alias("keyword"), F.lit(n).alias("n")))
+
+    none = F.array().cast("array<struct<keyword:string,n:int>>")
+    corrected = F.when(toxic, F.concat(counted(F.col("keywords"), -1), counted(F.array(F.lit("retracted")), 1))).otherwise(none)
+    signed = articles.select(F.col("processed_at").alias("at"), F.explode(F.concat(counted(F.col("keywords"), 1), corrected)).alias("k"))
+    counts = jobs.live_trending(signed.select("at", "k.keyword", "k.n").where("keyword <> ''"), LONG_DELAY)
+    jobs.keep_latest(counts, f"{path}/out", f"{path}/checkpoint")
+    return jobs.top_keywords(jobs.latest_counts(spark, f"{path}/out", ["window_end", "keyword"], ["count"]))

@@ -249,10 +249,11 @@ class KeyedTable:
         touched = self._names(self.read(named=True).where(hit))
         if not touched:
             return 0
-        schema, seen = self.schema(), Observation()
-        rows = self._files(touched, schema).observe(seen, F.count_if(hit).alias("n"))
-        self._replace(touched, self._written(store.delete_where(rows, condition), schema))
-        return seen.get["n"]
+        schema = self.schema()
+        held = self.live().where(F.col("file").isin(touched)).agg(F.sum("n_rows")).first()[0]
+        left = self._written(store.delete_where(self._files(touched, schema), condition), schema)
+        self._replace(touched, left)
+        return held - (left.agg(F.sum("n_rows")).first()[0] or 0)
 
     def delete_one(self, condition: Column) -> int:
         first = self.read(named=True).where(F.coalesce(condition, F.lit(False))).agg(F.min(self.key).alias("k")).first()

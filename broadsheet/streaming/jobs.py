@@ -10,13 +10,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import topics as TP
-from broadsheet.operators import enrich, sink, store
+from broadsheet.operators import enrich, ledger, sink, store
 from broadsheet.schemas import STAGES
 from broadsheet.session import file_system
 from broadsheet.sources import messages as M
@@ -149,6 +149,12 @@ def sink_job(
     sink.fold(messages.sparkSession, path, stages)
 
 
+def ledger_job(messages: DataFrame, path: str, checkpoint: str) -> None:
+    """Messages with topic, partition and offset into the archive with its ledger; a stream that
+    starts anew over the same topics stores nothing twice."""
+    drain(messages.writeStream.foreachBatch(lambda batch, _: ledger.archive(batch, path)), checkpoint)
+
+
 # --- keyed sinks -----------------------------------------------------------
 
 
@@ -215,3 +221,22 @@ def live_sentiment(articles: DataFrame, delay: str, size: str = "1 day") -> Data
     )
     counted = timed.groupBy(F.window("_time", size)).agg(*S.label_counts(S.label_of()), F.count(F.lit(1)).alias("total"))
     return counted.select(F.col("window.start").cast("timestamp_ntz").alias("bucket_start"), "negative", "neutral", "positive", "total")
+
+
+def live_trending(keywords: DataFrame, delay: str, size: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """Keyword counts of sliding windows from rows of (at, keyword, n).
+
+    ``n`` is 1 for a keyword of an article, -1 where a correction takes it back, so a correction
+    that comes within ``delay`` changes the windows that held the old keywords. Counts combine
+    map-side, so a very common keyword is a few rows per task.
+    """
+    timed = keywords.withColumn("_time", F.col("at").cast("timestamp")).withWatermark("_time", delay)
+    counted = timed.groupBy(F.window("_time", size, slide), "keyword").agg(F.sum("n").alias("count"))
+    return counted.select(F.col("window.end").cast("timestamp_ntz").alias("window_end"), "keyword", "count")
+
+
+def top_keywords(counts: DataFrame, limit: int = 10) -> DataFrame:
+    """The most frequent keywords of every window, with their rank."""
+    window = Window.partitionBy("window_end").orderBy(F.desc("count"), F.asc("keyword"))
+    ranked = counts.where("count > 0").withColumn("rank", F.row_number().over(window))
+    return ranked.where(F.col("rank") <= limit)

@@ -1,5 +1,5 @@
-"""Text, sentiment and summary stages. Each is one frame-to-frame function that runs
-unchanged in batch and in a stream."""
+"""Text, sentiment and summary stages. Each is one frame-to-frame function; all but
+``mean_chunk_scores``, which groups, run unchanged in batch and in a stream."""
 
 from __future__ import annotations
 
@@ -85,10 +85,12 @@ def extractive_summary(
     min_words: int = SUMMARY_MIN_LENGTH,
     max_words: int = SUMMARY_MAX_LENGTH,
     tokenize: Callable[[str], list[str]] | None = None,
+    score: Callable[[list[str], set[str]], float] | None = None,
 ) -> Column:
     """Best sentences within the word budget, in their original order.
 
-    A sentence scores the share of its tokens that are keywords of the text. Sentences
+    A sentence scores the share of its tokens that are keywords of the text, or what
+    ``score(tokens, keywords)`` makes of them (0 without tokens). Sentences
     are taken best first, earlier first on a tie, while the words fit ``max_words`` or
     ``min_words`` is not reached yet. All of it stays in the row: no shuffle. This
     Arrow-batched form was measured 1.4 times as fast as array expressions, which are
@@ -98,13 +100,17 @@ def extractive_summary(
     find = re.compile(X.LETTER_RUN).findall
     tokens_of = tokenize or (lambda sentence: find(sentence.lower()))
 
+    def keyword_share(tokens: list[str], wanted: set[str]) -> float:
+        return len([t for t in tokens if t in wanted]) / len(tokens)
+
+    value_of = score or keyword_share
+
     def summarise_text(content: str, wanted: set[str]) -> str:
         sentences = [s for s in sentence_end.split(content) if s.strip(" ")]
 
         def rank(position: int) -> tuple[float, int]:
             tokens = tokens_of(sentences[position])
-            hits = [t for t in tokens if t in wanted]
-            return (-len(hits) / len(tokens) if tokens else 0.0, position)
+            return (-value_of(tokens, wanted) if tokens else 0.0, position)
 
         used, taken = 0, []
         for position in sorted(range(len(sentences)), key=rank):
@@ -153,11 +159,17 @@ def summary_record(
     ).cast(SUMMARY_INFO)
 
 
-def summary_stage(df: DataFrame, as_of, minimum: int = MIN_TEXT_FOR_SUMMARY) -> DataFrame:
+def summary_stage(
+    df: DataFrame,
+    as_of,
+    minimum: int = MIN_TEXT_FOR_SUMMARY,
+    score: Callable[[list[str], set[str]], float] | None = None,
+    name: str = EXTRACTIVE_NAME,
+) -> DataFrame:
     """Extractive summaries for texts that pass the gate. Needs ``content`` and ``keywords``."""
     gated = X.compute_once(df, "_skipped", ~long_enough(F.col("content"), minimum))
-    summary = extractive_summary(F.when(~F.col("_skipped"), F.col("content")), F.col("keywords"))
-    return _with_record(gated, summary, EXTRACTIVE_NAME, EXTRACTIVE_TYPE, as_of)
+    summary = extractive_summary(F.when(~F.col("_skipped"), F.col("content")), F.col("keywords"), score=score)
+    return _with_record(gated, summary, name, EXTRACTIVE_TYPE, as_of)
 
 
 def _with_record(gated: DataFrame, summary: Column, name: str, kind: str, as_of) -> DataFrame:

@@ -11,13 +11,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import text as X
 from broadsheet.operators import enrich
 from broadsheet.schemas import SENTIMENT_LABELS
+from broadsheet.session import file_system
 
 #: Scores a list of units (texts, or lists of word codes): one list per unit, in label order.
 Scorer = Callable[[list], "np.ndarray | list[list[float]]"]
@@ -55,6 +56,33 @@ def train_sentiment(
     return Pipeline(stages=stages).fit(rows)
 
 
+def publish(model: PipelineModel, folder: str) -> str:
+    """Store a fitted model as the next version of a folder; a version counts once it is whole."""
+    spark = SparkSession.active()
+    versions = published(spark, folder)
+    path = f"{folder}/version={(versions or [0])[-1] + 1}"
+    model.write().overwrite().save(path)
+    fs, done = file_system(spark, f"{path}/_PUBLISHED")
+    fs.create(done).close()
+    return path
+
+
+def published(spark: SparkSession, folder: str) -> list[int]:
+    fs, path = file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path)]
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(p.suffix("/_PUBLISHED")))
+
+
+def latest(spark: SparkSession, folder: str) -> PipelineModel:
+    """The newest whole version. A job loads it when it starts, so a restart takes a new one up."""
+    versions = published(spark, folder)
+    if not versions:
+        raise ValueError(f"no model in {folder}")
+    return PipelineModel.load(f"{folder}/version={versions[-1]}")
+
+
 def linear_scorer(model: PipelineModel) -> tuple[Callable[[], Scorer], int]:
     """The trained pipeline as plain weights (3 numbers a feature), and the number of features.
 

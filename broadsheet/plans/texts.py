@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import text as X
-from broadsheet.operators import enrich, models
+from broadsheet.operators import corpus, enrich, models, topics
 from broadsheet.plans import sqlparts as Q
 from broadsheet.plans.registry import query
 from broadsheet.schemas import (
@@ -16,7 +18,7 @@ from broadsheet.schemas import (
     SKIPPED_MODEL_NAME,
     SKIPPED_MODEL_TYPE,
 )
-from broadsheet.session import spread
+from broadsheet.session import fresh_path, shared_dir, spread
 from broadsheet.sources import tables as TB
 
 NOW = TB.AS_OF
@@ -141,9 +143,17 @@ def chunk_sentiment_avg(spark, sf_dir):
     return means.select("doc_id", *[F.round(c, 4).alias(c) for c in SENTIMENT_LABELS], "chunks", "sentiment")
 
 
+def stored_sentiment_model(spark, sf_dir):
+    """The stored classifier of a folder of tables, fitted and stored where there is none yet."""
+    folder = f"{shared_dir(spark)}/models/sentiment-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+    if not models.published(spark, folder):
+        models.publish(models.train_sentiment(TB.labelled(spark, sf_dir, how="inner")), folder)
+    return models.latest(spark, folder)
+
+
 @query("sentiment_stage")
 def sentiment_stage(spark, sf_dir):
-    model = models.train_sentiment(TB.labelled(spark, sf_dir, how="inner"))
+    model = stored_sentiment_model(spark, sf_dir)
     analysed = models.analyse_sentiment(raw(spark, sf_dir), model, NOW)
     scores = F.col("sentiment_analysis.overall_sentiment.scores")
     return analysed.select(
@@ -191,7 +201,7 @@ def sentiment_flat_records(spark, sf_dir):
 
 @query("sentiment_keywords")
 def sentiment_keywords(spark, sf_dir):
-    model = models.train_sentiment(TB.labelled(spark, sf_dir, how="inner"))
+    model = stored_sentiment_model(spark, sf_dir)
     found = models.sentiment_words(raw(spark, sf_dir), model)
     return found.select("url", *[F.array_join(x, " ").alias(x) for x in SENTIMENT_LABELS])
 
@@ -337,3 +347,95 @@ def topics_lda(spark, sf_dir):
             F.try_element_at(topic["topic_keywords"], F.get(topic["main_topics"], F.lit(0)).cast("string")), " "
         ).alias("best_words"),
     )
+
+
+# --- corpus weights ------------------------------------------------------------
+
+_IDF_CTES = f"""{Q.keyword_ctes(stop=())},
+dt AS (SELECT doc_id, unnest(list_distinct(list_transform({Q.tokens_sql('content')}, lambda x: substr(md5(x), 1, 4)))) AS slot FROM kw),
+total AS (SELECT count(*) AS n FROM kw),
+idf AS (SELECT slot, CAST(floor(1000 * ln((any_value(total.n) + 1.0) / (count(*) + 1.0))) AS BIGINT) AS w FROM dt, total GROUP BY slot),
+s AS (SELECT doc_id, unnest({SENTENCES_SQL}) AS sentence, generate_subscripts({SENTENCES_SQL}, 1) AS pos FROM kw WHERE {LONG_SQL}),
+st AS (SELECT doc_id, sentence, pos, {Q.tokens_sql('sentence')} AS toks,
+    len(list_filter(regexp_split_to_array(sentence, '\\s+'), lambda w: w <> '')) AS words FROM s),
+scored AS (SELECT t.doc_id, t.pos, sum(idf.w) / count(*) AS score
+    FROM (SELECT doc_id, pos, substr(md5(unnest(toks)), 1, 4) AS slot FROM st) t JOIN idf USING (slot) GROUP BY t.doc_id, t.pos),
+sc AS (SELECT st.doc_id, sentence, st.pos, words, coalesce(score, 0.0) AS score FROM st LEFT JOIN scored USING (doc_id, pos)),
+cum AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS used FROM sc),
+summaries AS (SELECT doc_id, string_agg(trim(sentence), '. ' ORDER BY pos) AS made FROM cum
+    WHERE used <= 150 OR used - words < 30 GROUP BY doc_id),
+summed AS (SELECT kw.*, made FROM kw LEFT JOIN summaries USING (doc_id))"""
+
+
+@query("summary_corpus_idf", _info_sql(_IDF_CTES, "made", "corpus-idf", enrich.EXTRACTIVE_TYPE, "summed"))
+def summary_corpus_idf(spark, sf_dir):
+    """Sentences by the mean weight of their words over the corpus, from a stored table of frequencies."""
+    path = fresh_path(spark, "frequencies")
+    articles = TB.articles(spark, sf_dir)
+    corpus.write_frequencies(articles, path)
+    score = corpus.mean_weight(corpus.load_weights(spark, path))
+    none = articles.withColumn("keywords", F.array().cast("array<string>"))
+    return _info_columns(enrich.summary_stage(none, NOW, score=score, name="corpus-idf"))
+
+
+# --- topics from anchor words ----------------------------------------------------
+
+_PAIRS = f"""{Q.keyword_ctes()},
+lists_ AS (SELECT doc_id, list_distinct(keywords) AS ks FROM kw),
+terms AS (SELECT term, count(*) AS n FROM (SELECT unnest(ks) AS term FROM lists_) GROUP BY term
+    HAVING count(*) >= 0.01 * (SELECT count(*) FROM kw)),
+held AS (SELECT l.doc_id, t.term FROM (SELECT doc_id, unnest(ks) AS term FROM lists_) l JOIN terms t USING (term)),
+pairs AS (SELECT x.term AS a, y.term AS b, count(*) AS n FROM held x JOIN held y ON x.doc_id = y.doc_id AND x.term < y.term GROUP BY ALL)"""
+
+
+def _anchor_ctes(k: int) -> str:
+    """Rows of shares, and per topic the longest row and what is left of all rows beside it."""
+    steps = [
+        """both_ AS (SELECT a AS t, b AS i, n FROM pairs UNION ALL SELECT b, a, n FROM pairs),
+r0 AS (SELECT x.t, y.i, coalesce(b.n, 0)::DOUBLE / x.total AS v
+  FROM (SELECT t, sum(n) AS total FROM both_ GROUP BY t) x, (SELECT DISTINCT i FROM both_) y
+  LEFT JOIN both_ b ON b.t = x.t AND b.i = y.i)"""
+    ]
+    for j in range(k):
+        steps.append(
+            f"""a{j} AS (SELECT t, sqrt(sum(v * v)) AS size FROM r{j} GROUP BY t ORDER BY round(sum(v * v), 12) DESC, t LIMIT 1),
+u{j} AS (SELECT i, v / size AS u FROM r{j} JOIN a{j} USING (t)),
+d{j} AS (SELECT t, sum(v * u) AS d FROM r{j} JOIN u{j} USING (i) GROUP BY t),
+r{j + 1} AS MATERIALIZED (SELECT t, i, v - d * u AS v FROM r{j} JOIN u{j} USING (i) JOIN d{j} USING (t))"""
+        )
+    return ",\n".join(steps)
+
+
+def topic_docs(spark, sf_dir):
+    return TB.with_keywords(TB.articles(spark, sf_dir), Q.STOPWORDS).select("url", "keywords")
+
+
+@query("topic_cooccurrence", f"WITH {_PAIRS} SELECT a, b, n FROM pairs")
+def topic_cooccurrence(spark, sf_dir):
+    docs = topic_docs(spark, sf_dir)
+    return topics.cooccurrence(docs, [t for t, _ in topics.vocabulary(docs)])
+
+
+@query("topic_anchors", f"WITH {_PAIRS}, {_anchor_ctes(5)} " + " UNION ALL ".join(f"SELECT {j} AS topic, t AS term FROM a{j}" for j in range(5)))
+def topic_anchors(spark, sf_dir):
+    path = fresh_path(spark, "topics")
+    topics.save(spark, topics.fit(topic_docs(spark, sf_dir)), path)
+    return spark.read.parquet(path).where("anchor IS NOT NULL").select(F.col("anchor").alias("topic"), "term")
+
+
+@query("topics_anchored")
+def topics_anchored(spark, sf_dir):
+    """Topic shares of every article from a stored anchor-word model."""
+    path = fresh_path(spark, "topics")
+    docs = topic_docs(spark, sf_dir)
+    topics.save(spark, topics.fit(docs), path)
+    analysed = topics.analyse(docs, topics.load(spark, path))
+    topic = F.col("topic_analysis")
+    return analysed.select(
+        "url",
+        F.array_join(F.transform(topic["main_topics"], lambda t: t.cast("string")), ",").alias("main_topics"),
+        F.round(F.array_max(topic["topic_distribution"]), 6).alias("best_share"),
+        F.array_join(
+            F.try_element_at(topic["topic_keywords"], F.get(topic["main_topics"], F.lit(0)).cast("string")), " "
+        ).alias("best_words"),
+    )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import topics as TP
-from broadsheet.operators import enrich, ledger, sink, store
+from broadsheet.operators import enrich, ledger, models, sink, store
 from broadsheet.schemas import STAGES
 from broadsheet.session import file_system
 from broadsheet.sources import messages as M
@@ -115,6 +115,12 @@ def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, stopwords:
     to_files(staged.observe("text_job", *counters), path, checkpoint, ["outcome"])
 
 
+def sentiment_job(articles: DataFrame, models_folder: str, path: str, checkpoint: str, as_of) -> None:
+    """Score articles with the newest stored model; nothing is trained here."""
+    model = models.latest(articles.sparkSession, models_folder)
+    to_files(models.analyse_sentiment(articles, model, as_of), path, checkpoint)
+
+
 def fan_out(messages: DataFrame, jobs: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str) -> None:
     """Independent queries over one stream, each with its own sink and checkpoint."""
     running = [

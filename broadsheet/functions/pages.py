@@ -24,11 +24,42 @@ ENTITIES = (
 
 
 def inner_html(html: Column, tag: str) -> Column:
-    """Markup inside the first ``tag`` element that does not nest in itself; empty when
-    there is none. Splitting at the two tags is much faster than a lazy match between."""
+    """Markup inside the first ``tag`` element, elements of the same tag in it included; empty
+    when there is none or it is not closed. Splitting at the tags is much faster than a lazy match.
+
+    The first closing tag ends the element where as many were closed as opened; only a page
+    that nests the tag in itself has its tags counted.
+    """
     opened = F.split(html, rf"(?i)<{tag}\b[^>]*>", 2)
-    closed = F.split(F.get(opened, F.lit(1)), rf"(?i)</{tag}>", 2)
-    return let(closed, lambda parts: F.when(F.size(parts) == 2, F.get(parts, F.lit(0))).otherwise(""))
+    rest = F.get(opened, F.lit(1))
+    either = rf"(?i)<(?:{tag}\b[^>]*|/{tag})>"
+
+    def by_depth(text: Column) -> Column:
+        tags = F.regexp_extract_all(text, F.lit(either), F.lit(0))
+        steps = F.transform(tags, lambda t: F.when(t.startswith("</"), -1).otherwise(1))
+        state = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(-1).alias("end"))
+        end = F.aggregate(
+            steps,
+            state,
+            lambda s, x: F.struct(
+                (s["depth"] + x).alias("depth"),
+                (s["seen"] + 1).alias("seen"),
+                F.when((s["end"] < 0) & (s["depth"] + x == 0), s["seen"]).otherwise(s["end"]).alias("end"),
+            ),
+            lambda s: s["end"],
+        )
+        gaps = F.split(text, either)
+        inside = F.zip_with(
+            F.slice(gaps, 1, end + 1), F.slice(tags, 1, end), lambda gap, t: F.concat(gap, F.coalesce(t, F.lit("")))
+        )
+        return F.when(end >= 0, F.array_join(inside, "")).otherwise("")
+
+    def first_close(parts: Column) -> Column:
+        plain = F.get(parts, F.lit(0))
+        nested = plain.rlike(rf"(?i)<{tag}\b[^>]*>")
+        return F.when(F.size(parts) < 2, "").when(nested, by_depth(rest)).otherwise(plain)
+
+    return let(F.split(rest, rf"(?i)</{tag}>", 2), lambda parts: F.coalesce(first_close(parts), F.lit("")))
 
 
 def text_of(html: Column, ad_class: str | None = None) -> Column:
@@ -76,12 +107,12 @@ def page_links(html: Column, url: Column, cap: int | None = None, ad_class: str
     ``/path`` links get the page's own root and what is still not http(s) is dropped.
     """
     anchors = F.filter(
-        F.regexp_extract_all(html, F.lit(r"<a\b[^>]*>"), F.lit(0)),
-        lambda a: ~a.rlike(rf'class="[^"]*\b{ad_class}\b'),
+        F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*>"), F.lit(0)),
+        lambda a: ~a.rlike(rf"""(?i)\bclass\s*=\s*["'][^"']*\b{ad_class}\b"""),
     )
     if cap is not None:
         anchors = F.slice(anchors, 1, cap)
     root = F.regexp_extract(url, r"^(https?://[^/?#]+)", 1)
-    hrefs = F.transform(anchors, lambda a: F.regexp_extract(a, r'\bhref="([^"]*)"', 1))
+    hrefs = F.transform(anchors, lambda a: F.regexp_extract(a, r"""(?i)\bhref\s*=\s*(["'])(.*?)\1""", 2))
     absolute = F.transform(hrefs, lambda h: F.when(h.startswith("/"), F.concat(root, h)).otherwise(h))
     return F.filter(absolute, lambda h: h.startswith("http"))

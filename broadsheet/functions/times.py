@@ -58,8 +58,13 @@ def parse_page_date(text: Column, as_of: datetime | str) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to a zone-free UTC timestamp; NULL when it does not parse."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """ISO-8601 text to a zone-free UTC timestamp; NULL when it does not parse.
+
+    Text with an offset is converted to UTC whatever the session's zone; text without one is UTC.
+    """
+    local = F.try_to_timestamp(text).cast("timestamp_ntz")
+    has_offset = text.rlike(r"T.*(Z|[+-]\d\d(:?\d\d)?)\s*$")
+    return F.when(has_offset, F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)).otherwise(local)
 
 
 def iso(column: Column) -> Column:

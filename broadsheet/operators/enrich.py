@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -135,16 +136,24 @@ def extractive_summary(
 
 
 def summary_record(
-    content: Column, summary: Column, model_name: Column | str, model_type: str, skipped: Column, seconds: Column | None = None
+    content: Column,
+    summary: Column,
+    model_name: Column | str,
+    model_type: str,
+    skipped: Column,
+    seconds: Column | None = None,
+    failed: Column | None = None,
 ) -> Column:
-    """The summary record: the text itself for skipped rows, else summary and ratio."""
+    """The summary record: the text itself for skipped rows, else summary and ratio.
+
+    ``failed`` marks rows whose summary is an error text; without it none is."""
     text = F.coalesce(content, F.lit(""))
     name = F.lit(model_name) if isinstance(model_name, str) else model_name
     original = F.length(text).cast("bigint")
     body = F.when(skipped, text).otherwise(F.coalesce(summary, F.lit("")))
     length = F.length(body).cast("bigint")
     ratio = F.when(skipped, 1.0).when(original > 0, F.round(length / original, 4)).otherwise(0.0)
-    failed = body.startswith(BATCH_ERROR_PREFIX) & ~skipped
+    failed = F.lit(False) if failed is None else F.coalesce(failed, F.lit(False)) & ~skipped
     return F.struct(
         body.alias("summary"),
         original.alias("original_length"),
@@ -172,10 +181,16 @@ def summary_stage(
     return _with_record(gated, summary, name, EXTRACTIVE_TYPE, as_of)
 
 
-def _with_record(gated: DataFrame, summary: Column, name: str, kind: str, as_of) -> DataFrame:
-    """Attach the record; gate and summary are evaluated once and read many times."""
+def _with_record(gated: DataFrame, summary: Column, name: str, kind: str, as_of, measured: bool = False) -> DataFrame:
+    """Attach the record; gate and summary are evaluated once and read many times.
+
+    A ``measured`` summary is a record of summary, seconds and failed."""
     found = X.compute_once(gated, "_summary", summary)
-    record = summary_record(F.col("content"), F.col("_summary"), name, kind, F.col("_skipped"))
+    parts = [F.col("_summary")]
+    if measured:
+        parts = [F.col(f"_summary.{c}") for c in ("summary", "seconds", "failed")]
+    text, *rest = parts
+    record = summary_record(F.col("content"), text, name, kind, F.col("_skipped"), *rest)
     return found.withColumns({"summary_info": record, "summary_processed_at": TM.moment(as_of)}).drop(
         "_summary", "_skipped"
     )
@@ -192,32 +207,36 @@ def summarize_with(
 ) -> DataFrame:
     """Summaries from an external model, loaded once per task and fed ``batch_size`` texts.
 
-    A failing batch marks its texts with the error and the others go on. Only the texts
-    that pass the gate travel to the model.
+    A failing batch marks its texts with the error and the others go on; the mark is a column of
+    its own, so no text is taken for an error. A batch's seconds are shared out evenly among its
+    texts. Only the texts that pass the gate travel to the model.
     """
 
-    @F.pandas_udf("string")
-    def summarise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("summary string, seconds double, failed boolean")
+    def summarise(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for texts in batches:
-            made = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            made = pd.DataFrame({"summary": None, "seconds": 0.0, "failed": False}, index=texts.index).astype({"summary": object})
             todo = texts.index[texts.notna()]
             for at in range(0, len(todo), batch_size):
                 rows = todo[at : at + batch_size]
+                started = time.perf_counter()
                 try:
-                    made.loc[rows] = model(list(texts.loc[rows]))
+                    made.loc[rows, "summary"] = model(list(texts.loc[rows]))
                 except Exception as error:  # one bad batch must not fail the job
-                    made.loc[rows] = f"{BATCH_ERROR_PREFIX}{error}"
+                    made.loc[rows, "summary"] = f"{BATCH_ERROR_PREFIX}{error}"
+                    made.loc[rows, "failed"] = True
+                made.loc[rows, "seconds"] = (time.perf_counter() - started) / len(rows)
             yield made
 
     gated = X.compute_once(df, "_skipped", ~long_enough(F.col("content"), minimum))
     summary = summarise(F.when(~F.col("_skipped"), F.col("content")))
-    return _with_record(gated, summary, model_name, model_type, as_of)
+    return _with_record(gated, summary, model_name, model_type, as_of, measured=True)
 
 
 def summary_failures(df: DataFrame) -> DataFrame:
     """Rows whose summary is an error text, for the quarantine output."""
-    return df.where(F.col("summary_info.summary").startswith(BATCH_ERROR_PREFIX))
+    return df.where(F.col("summary_info.model_info.name") == BATCH_ERROR_MODEL_NAME)
 
 
 def stored_summary(df: DataFrame) -> DataFrame:

@@ -127,6 +127,22 @@ def top_topics(df: DataFrame, as_of, days: int = 7, limit: int = 5) -> DataFrame
     )
 
 
+def with_top_topics(summary: DataFrame, df: DataFrame, as_of, days: int = 7, limit: int = 5) -> DataFrame:
+    """Add ``top_topics`` to a summary per category: records of topic, count and keywords, best first.
+
+    At most ``limit`` rows per category are collected; a total over all categories (category NULL)
+    and a category without topics have an empty list.
+    """
+    top = top_topics(df, as_of, days, limit)
+    record = F.struct("rank", F.struct("topic", "count", "keywords").alias("topic"))
+    lists = top.groupBy("category").agg(
+        F.transform(F.array_sort(F.collect_list(record)), lambda t: t["topic"]).alias("top_topics")
+    )
+    joined = summary.join(lists, "category", "left")
+    kind = dict(lists.dtypes)["top_topics"]
+    return joined.withColumn("top_topics", F.coalesce("top_topics", F.array().cast(kind)))
+
+
 def topic_sentiment(df: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Article count and label counts of every topic."""
     exploded = recent(df, as_of, days).withColumn("topic_id", F.explode("main_topics"))

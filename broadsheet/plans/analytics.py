@@ -139,6 +139,41 @@ def category_top_topics(spark, sf_dir):
     return found.withColumn("keywords", F.array_join("keywords", ","))
 
 
+_TOPIC_LISTS_SQL = f"""{_TOP_TOPICS_SQL}, lists_ AS (
+      SELECT category, string_agg(topic || ':' || n || ':' || keywords, ';' ORDER BY rank) AS top_topics
+      FROM r JOIN words USING (topic) WHERE rank <= 5 GROUP BY category)"""
+
+
+def _listed_topics(df):
+    shown = F.transform("top_topics", lambda t: F.concat_ws(":", t["topic"], t["count"], F.array_join(t["keywords"], ",")))
+    return df.withColumn("top_topics", F.array_join(shown, ";"))
+
+
+@query(
+    "category_summary_topics",
+    f"""WITH {_TOPIC_LISTS_SQL}, counted AS (
+      SELECT category, count(*) AS article_count, {LABELS_SQL}, {WEEK} AS "start", {Q.NOW} AS "end"
+      FROM articles WHERE published_at >= {WEEK} GROUP BY category)
+    SELECT c.*, coalesce(top_topics, '') AS top_topics FROM counted c LEFT JOIN lists_ USING (category)""",
+)
+def category_summary_topics(spark, sf_dir):
+    articles = TB.with_topics(TB.labelled(spark, sf_dir))
+    return _listed_topics(trends.with_top_topics(trends.category_summary(articles, NOW), articles, NOW))
+
+
+@query(
+    "stats_summary_topics",
+    f"""WITH {_TOPIC_LISTS_SQL}, counted AS (
+      SELECT category, count(*) AS article_count, {LABELS_SQL}, {WEEK} AS "start", {Q.NOW} AS "end"
+      FROM articles WHERE published_at >= {WEEK} GROUP BY GROUPING SETS ((category), ()))
+    SELECT c.*, coalesce(top_topics, '') AS top_topics FROM counted c LEFT JOIN lists_ l ON l.category = c.category""",
+)
+def stats_summary_topics(spark, sf_dir):
+    articles = TB.with_topics(TB.labelled(spark, sf_dir))
+    total = trends.stats_summary(articles, NOW).drop("is_total")
+    return _listed_topics(trends.with_top_topics(total, articles, NOW))
+
+
 @query(
     "topic_labels",
     f"""WITH {_TOP_TOPICS_SQL} SELECT category, 'Topic ' || topic AS label, n AS "count",

@@ -185,9 +185,7 @@ def key_violations(spark, sf_dir):
     WHERE {' OR '.join(f"(s = '{k}' AND published_at >= {Q.days_ago(v)})" for k, v in STAGE_RETENTION_DAYS.items())}""",
 )
 def retention_filter(spark, sf_dir):
-    sent = TB.messages(spark, sf_dir).join(
-        TB.articles(spark, sf_dir).select(F.col("doc_id").alias("offset"), "published_at"), "offset"
-    )
+    sent = TB.as_messages(TB.labelled(spark, sf_dir), keep=["published_at"])
     staged = sent.withColumn("stage", TP.topic_part(F.col("topic"), 2))
     kept = store.within_retention(staged, F.col("stage"), F.col("published_at"), NOW)
     return kept.select(F.col("offset").alias("message_no"), "stage")

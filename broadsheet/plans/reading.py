@@ -61,7 +61,8 @@ _scan(
 
 @query(
     "replay_batch",
-    f"""WITH {Q.MESSAGES} SELECT doc_id AS message_no, url, category, title, length(content) AS content_length
+    f"""WITH {Q.MESSAGES} SELECT doc_id AS message_no, url, category, title, length(content) AS content_length,
+      CASE WHEN doc_id % 3 <> 0 THEN array_to_string(string_split(title, ' ')[:2], ' ') END AS keywords
     FROM messages WHERE topic = 'news.society.processed' AND reject_reason IS NULL""",
 )
 def replay_batch(spark, sf_dir):
@@ -73,6 +74,7 @@ def replay_batch(spark, sf_dir):
         "category",
         "title",
         F.length("content").cast("bigint").alias("content_length"),
+        F.array_join("keywords", " ").alias("keywords"),
     )
 
 
@@ -84,12 +86,14 @@ def decode_json(spark, sf_dir):
 
 @query(
     "validate_articles",
-    f"""WITH {Q.MESSAGES} SELECT doc_id AS message_no, topic, url, title, press, category, published_at, collected_at
+    f"""WITH {Q.MESSAGES} SELECT doc_id AS message_no, topic, url, title, press, category, published_at, collected_at,
+      CASE WHEN doc_id % 3 <> 0 THEN array_to_string(string_split(title, ' ')[:2], ' ') END AS keywords
     FROM messages WHERE reject_reason IS NULL""",
 )
 def validate_articles(spark, sf_dir):
     records = M.accepted(M.checked(TB.messages(spark, sf_dir)))
-    return records.drop("content").withColumnRenamed("offset", "message_no")
+    listed = records.withColumn("keywords", F.array_join("keywords", " "))
+    return listed.drop("content").withColumnRenamed("offset", "message_no")
 
 
 @query(
@@ -121,11 +125,9 @@ def known_category_only(spark, sf_dir):
 )
 def category_from_topic(spark, sf_dir):
     # English records come without their category field, as some producers send them.
-    sent = TB.messages(spark, sf_dir)
-    own = TB.articles(spark, sf_dir).select(
-        F.col("doc_id").alias("offset"), F.when(F.col("lang") != "en", F.col("category")).alias("category")
-    )
-    return sent.join(own, "offset").select(
+    own = F.when(F.col("lang") != "en", F.col("category"))
+    sent = TB.as_messages(TB.labelled(spark, sf_dir).withColumn("own", own), keep=["own"])
+    return sent.withColumnRenamed("own", "category").select(
         F.col("offset").alias("message_no"),
         M.category_or_topic(F.col("category"), F.col("topic")).alias("category"),
     )
@@ -411,7 +413,7 @@ def extract_articles_by_site(spark, sf_dir):
 )
 def page_links_by_site(spark, sf_dir):
     pages = spread(TB.table(spark, sf_dir, "pages"), "page_id")
-    found = sites.extract_links(pages, sites.LinkList("nav li", 3, "a", root="https://site"), ["page_id"])
+    found = sites.extract_links(pages, sites.LinkList("nav li", 3, "a", root="https://site"), ["page_id"], cap=3)
     return found.select(
         "page_id", F.regexp_replace("link", "^https://site", "").alias("href"), F.col("position").cast("bigint").alias("position")
     )

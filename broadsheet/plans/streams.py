@@ -13,7 +13,7 @@ from broadsheet.operators import enrich, models, store
 from broadsheet.plans import sqlparts as Q
 from broadsheet.plans import texts
 from broadsheet.plans.registry import query
-from broadsheet.schemas import STAGES
+from broadsheet.schemas import SKIPPED_MODEL_NAME, STAGES
 from broadsheet.session import fresh_path
 from broadsheet.sources import messages as M
 from broadsheet.sources import tables as TB
@@ -88,6 +88,42 @@ def stream_fanout(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def first_words(texts: list[str]) -> list[str]:
+    """A stand-in for an external summary model."""
+    return [text[:60] for text in texts]
+
+
+@query(
+    "stream_summary_job",
+    f"""WITH {Q.MESSAGES}, p AS (
+      SELECT *, reject_reason IS NULL AS ok FROM messages
+      WHERE stage = 'processed' AND topic LIKE 'news.%' AND list_contains({Q.quoted(TB.CATEGORIES)}, split_part(topic, '.', 2)))
+    SELECT doc_id AS message_no, CASE WHEN ok THEN 'summary' ELSE 'rejected' END AS outcome,
+      'news.' || split_part(topic, '.', 2) || '.summary' AS target_topic, CASE WHEN ok THEN url END AS url,
+      CASE WHEN NOT ok THEN '' WHEN length({Q.strip_sql('content')}) >= 100 THEN substr(content, 1, 60) ELSE content END AS summary,
+      true AS timed
+    FROM p""",
+)
+def stream_summary_job(spark, sf_dir):
+    path = fresh_path(spark, "stream-summary")
+
+    def summarise(df):
+        return enrich.summarize_with(df, lambda: first_words, "first words", "external", NOW)
+
+    jobs.summary_job(message_stream(spark, sf_dir), summarise, f"{path}/out", f"{path}/checkpoint")
+    info = F.col("summary_info")
+    skipped = info["model_info"]["name"] == SKIPPED_MODEL_NAME
+    seconds = info["processing_time_seconds"]
+    return spark.read.parquet(f"{path}/out").select(
+        F.col("offset").alias("message_no"),
+        "outcome",
+        "target_topic",
+        "url",
+        info["summary"].alias("summary"),
+        F.when(skipped, seconds == 0).otherwise(seconds > 0).alias("timed"),
+    )
+
+
 @query("stream_sentiment_stage", texts.EXTERNAL_SQL)
 def stream_sentiment_stage(spark, sf_dir):
     path = fresh_path(spark, "stream-sentiment")

@@ -111,6 +111,7 @@ def accepted(checked_messages: DataFrame) -> DataFrame:
         category_or_topic(F.col("record.category"), F.col("topic")).alias("category"),
         TM.parse_iso(F.col("record.published_at")).alias("published_at"),
         TM.parse_iso(F.col("record.collected_at")).alias("collected_at"),
+        F.col("record.keywords").alias("keywords"),
     )
 
 

@@ -43,7 +43,7 @@ class Site:
 
 @dataclass(frozen=True)
 class LinkList:
-    """Where a list page keeps its links: the first ``cap`` items without ``ad_class``.
+    """Where a list page keeps its links: items without ``ad_class``, usually the first ``cap``.
 
     ``link`` is looked up inside an item, ``item`` means the item is the link itself, and
     ``parent`` the link around it. With a ``root`` relative links are completed, without
@@ -244,12 +244,12 @@ def read_article(html: str, site: Site) -> dict[str, str | None]:
 
 
 class _LinkWalker(_Walker):
-    def __init__(self, links: LinkList):
+    def __init__(self, links: LinkList, cap: int | None):
         super().__init__()
         self.links = links
         self.items = _paths(links.items)
         self.inner = _paths(links.link) if links.link not in ("item", "parent") else []
-        self.count = 0
+        self.count, self.cap = 0, cap
         self.item: _Element | None = None
         self.hrefs: list[str] = []
 
@@ -260,7 +260,7 @@ class _LinkWalker(_Walker):
                 self.hrefs.append(element.attributes.get("href", ""))
                 self.item = None
             return
-        if self.count >= self.links.cap or not _fits_any(self.stack, self.items):
+        if (self.cap is not None and self.count >= self.cap) or not _fits_any(self.stack, self.items):
             return
         if self.links.ad_class in element.classes:
             return
@@ -278,8 +278,8 @@ class _LinkWalker(_Walker):
             self.item = None
 
 
-def read_links(html: str, links: LinkList) -> list[str]:
-    walker = _LinkWalker(links)
+def read_links(html: str, links: LinkList, cap: int | None = None) -> list[str]:
+    walker = _LinkWalker(links, cap)
     walker.feed(html)
     walker.close()
     found = [h for h in walker.hrefs if h]
@@ -297,10 +297,10 @@ def article_fields(html: Column, site: Site) -> Column:
     return read(html)
 
 
-def link_column(html: Column, links: LinkList) -> Column:
+def link_column(html: Column, links: LinkList, cap: int | None = None) -> Column:
     @F.pandas_udf("array<string>")
     def read(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: read_links(page or "", links))
+        return pages.map(lambda page: read_links(page or "", links, cap))
 
     return read(html)
 
@@ -313,6 +313,10 @@ def extract_articles(pages: DataFrame, site: Site, as_of, keep: Iterable[str] =
     return fields.withColumn("published_at", TM.parse_page_date(F.col("date_text"), as_of)).drop("date_text")
 
 
-def extract_links(pages: DataFrame, links: LinkList, keep: Iterable[str] = ("url",)) -> DataFrame:
-    found = compute_once(pages.select(*keep, "html"), "_links", link_column(F.col("html"), links))
+def extract_links(
+    pages: DataFrame, links: LinkList, keep: Iterable[str] = ("url",), cap: int | None = None
+) -> DataFrame:
+    """Links of list pages with their position; ``cap`` takes the first items of a page only (the
+    usual number of a known site is ``links.cap``)."""
+    found = compute_once(pages.select(*keep, "html"), "_links", link_column(F.col("html"), links, cap))
     return found.select(*keep, F.posexplode("_links").alias("position", "link"))

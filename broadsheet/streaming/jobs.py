@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from broadsheet.functions import sentiment as S
 from broadsheet.functions import topics as TP
 from broadsheet.operators import enrich, ledger, models, sink, store
-from broadsheet.schemas import STAGES
+from broadsheet.schemas import BATCH_ERROR_MODEL_NAME, STAGES
 from broadsheet.session import file_system
 from broadsheet.sources import messages as M
 
@@ -115,6 +115,37 @@ def text_job(messages: DataFrame, as_of, path: str, checkpoint: str, stopwords:
     to_files(staged.observe("text_job", *counters), path, checkpoint, ["outcome"])
 
 
+def summary_job(
+    messages: DataFrame,
+    summarise: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    categories: Sequence[str] | None = None,
+) -> None:
+    """Processed messages of the known categories to summary records with the topic they go to.
+
+    ``summarise`` attaches ``summary_info`` and its time, see ``enrich``. Messages that are refused
+    and rows whose summary failed are kept under their own ``outcome``.
+    """
+    named = M.by_topics(messages, TP.topic_list("processed", categories))
+    checked = M.checked(named)
+    good = F.col("reject_reason").isNull()
+    fields = ("title", "content", "url", "press", "published_at", "keywords")
+    articles = checked.select(
+        "topic",
+        "offset",
+        "reject_reason",
+        F.when(~good, F.col("value")).alias("value"),
+        *[F.when(good, F.col(f"record.{c}")).alias(c) for c in fields],
+        M.category_or_topic(F.col("record.category"), F.col("topic")).alias("category"),
+    )
+    made = summarise(articles)
+    failed = F.col("summary_info.model_info.name") == BATCH_ERROR_MODEL_NAME
+    outcome = F.when(~good, "rejected").when(failed, "failed").otherwise("summary")
+    target = TP.topic_name(TP.category_between(F.col("topic"), "processed"), "summary")
+    to_files(made.withColumns({"outcome": outcome, "target_topic": target}), path, checkpoint, ["outcome"])
+
+
 def sentiment_job(articles: DataFrame, models_folder: str, path: str, checkpoint: str, as_of) -> None:
     """Score articles with the newest stored model; nothing is trained here."""
     model = models.latest(articles.sparkSession, models_folder)
@@ -174,9 +205,19 @@ def upsert_job(changes: DataFrame, path: str, checkpoint: str, key: str = "url",
     drain(changes.writeStream.foreachBatch(write), checkpoint)
 
 
-def latest_changes(spark: SparkSession, path: str, key: str = "url", order: str = "ingest_seq") -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All batch folders of a log; with a ``schema`` a log without any batch is an empty table."""
+    fs, folder = file_system(spark, path)
+    if schema and not (fs.exists(folder) and len(fs.listStatus(folder))):
+        return spark.createDataFrame([], f"{schema}, batch_id int")
+    return spark.read.parquet(path)
+
+
+def latest_changes(
+    spark: SparkSession, path: str, key: str = "url", order: str = "ingest_seq", schema: str | None = None
+) -> DataFrame:
     """Newest record per key of the change log; a later batch wins."""
-    log = spark.read.parquet(path)
+    log = read_log(spark, path, schema)
     ranked = log.withColumn(order, F.struct("batch_id", order))
     newest = store.latest_per_key(ranked, key, order)
     return newest.withColumn(order, F.col(f"{order}.{order}")).drop("batch_id")
@@ -201,9 +242,11 @@ def keep_latest(counts: DataFrame, path: str, checkpoint: str) -> None:
     drain(counts.writeStream.outputMode("update").foreachBatch(batch_folders(path)), checkpoint)
 
 
-def latest_counts(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def latest_counts(
+    spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str], schema: str | None = None
+) -> DataFrame:
     """The last state of every group."""
-    log = spark.read.parquet(path)
+    log = read_log(spark, path, schema)
     newest = F.max(F.struct("batch_id", *values)).alias("_last")
     return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])
 

@@ -75,4 +75,28 @@ def test_links_by_site(site, html, links):
 
 def test_link_caps_count_items_before_the_filter():
     html = "".join(f'<a class="sa_text_title" href="{"/r" if i < 29 else "http://x/" + str(i)}"></a>' for i in range(40))
-    assert sites.read_links(html, sites.LINK_LISTS["naver"]) == ["http://x/29"]
+    links = sites.LINK_LISTS["naver"]
+    assert sites.read_links(html, links, links.cap) == ["http://x/29"]
+    assert len(sites.read_links(html, links)) == 11
+
+
+@pytest.mark.parametrize(
+    ("html", "inner"),
+    [
+        ("<article>a<article>b</article>c</article>d", "a<article>b</article>c"),
+        ("<ARTICLE x>a<article>b</article><article>c</Article>d</article></article>", "a<article>b</article><article>c</Article>d"),
+        ("<article>a</article><article>b</article>", "a"),
+        ("<article>a<article>b</article>", ""),
+        ("<articles>a</articles><article>b</article>", "b"),
+        ("no", ""),
+    ],
+)
+def test_an_element_ends_at_its_own_closing_tag(spark, html, inner):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(P.inner_html(F.col("html"), "article")).first()[0] == inner
+
+
+def test_links_in_any_markup(spark):
+    html = """<A HREF='/a'>x</A><a class='ad_wrap' href="/ad"></a><a title="q" href = "http://y/b'c">z</a>"""
+    df = spark.createDataFrame([(html, "http://x/p")], "html string, url string")
+    assert df.select(P.page_links(F.col("html"), F.col("url"))).first()[0] == ["http://x/a", "http://y/b'c"]

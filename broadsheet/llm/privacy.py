@@ -1,23 +1,22 @@
 """Personal data, and terms that disclose it.
 
 Base kinds are found by patterns. Then the corpus says which other terms reveal a protected
-value: for a value e and a term t near it, the disclosure is the pointwise mutual information
-of the two over the information of e,
+value: for a value e and a term t near it, the pointwise mutual information of the two is
 
-    log2(p(e|t) N / n(e)) / log2(N / n(e)),  p(e|t) = (n(e,t) + n(e) / N) / (n(t) + 1),
+    log2(p(e|t) N / n(e)),  p(e|t) = (n(e,t) + n(e) / N) / (n(t) + 1),
 
 with document counts over the whole corpus: n(e) documents mention e, n(t) contain t, n(e,t)
-have t within ``NEAR`` characters of e. At 1 the term names the value as surely as the value
-itself. The one document added to n(t), with e as likely as anywhere, holds back what few
-documents say; values and terms of any number of documents take part. A term that reaches
-``DISCLOSES`` for some value is a span of the kind term wherever it stands, near the value or
-in other texts, except inside base spans: from ``REMOVES`` on it is removed, below it is
-generalised to [WORD].
+have t within ``NEAR`` characters of e. Left is the uncertainty about the value once the term is
+known, -log2 p(e|t) bits, whatever the size of the corpus: at 0 the term names the value as surely as
+the value itself. The one document added to n(t), with e as likely as anywhere, holds back what few
+documents say; values and terms of any number of documents take part. A term that leaves
+``DISCLOSES`` bits or less of some value is a span of the kind term wherever it stands, near the
+value or in other texts, except inside base spans: up to ``REMOVES`` bits it is removed, above
+it is generalised to [WORD].
 
 JVM functions only. Contexts are cut around each value, so their number grows with the number
-of values, never with pairs of documents. A filter of ``BITS`` bits over the disclosing terms
-keeps back most other words before places are joined with terms; it only thins. Null and empty
-texts have no spans; rows with a null id or a repeated id are marked by their own text.
+of values, never with pairs of documents. Null and empty texts have no spans; rows with a null id or
+a repeated id are marked by their own text.
 """
 
 from __future__ import annotations
@@ -37,9 +36,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 WORD = r"\p{L}{3,}+"
 NEAR = 64
-BITS = 1 << 18
-DISCLOSES = 0.8
-REMOVES = 0.95
+#: Bits of uncertainty about a value that a term may leave and still counts as disclosing it.
+DISCLOSES = 2.0
+REMOVES = 0.5
 
 
 def digits(value: Column) -> Column:
@@ -136,7 +135,7 @@ def words_of_text() -> Column:
 
 
 def disclosing(rows: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
-    """(term, disclosure) of the terms above the threshold for some value, from counts over all rows."""
+    """(term, bits left) of the terms that disclose some value, from counts over all rows."""
     total = rows.count()
     pairs = near.groupBy("value", "term").agg(F.count("*").alias("n_both"))
     values = (
@@ -157,47 +156,31 @@ def disclosing(rows: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
     return (
         pairs.join(values, "value")
         .join(terms, "term")
-        .select("term", (F.log2(given * odds) / F.log2(odds)).alias("disclosure"))
-        .filter(F.col("disclosure") >= DISCLOSES)
+        .select("term", (-F.log2(given)).alias("left"))
+        .filter(F.col("left") <= DISCLOSES)
         .groupBy("term")
-        .agg(F.max("disclosure").alias("disclosure"))
-    )
-
-
-def bit(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BITS))
-
-
-def filter_row(terms: DataFrame) -> DataFrame:
-    """One row, ``bits``: an array of 32-bit parts in which each term's bit is set."""
-    at = bit(F.col("term"))
-    parts = (
-        terms.select(F.floor(at / 32).alias("part"), F.call_function("shiftleft", F.lit(1), (at % 32).cast("int")).alias("bits"))
-        .groupBy("part")
-        .agg(F.bit_or("bits").alias("bits"))
-    )
-    every = terms.sparkSession.range(BITS // 32).withColumnRenamed("id", "at")
-    each = every.join(parts, F.col("at") == F.col("part"), "left").select("at", F.coalesce("bits", F.lit(0)).alias("bits"))
-    return each.agg(F.array_sort(F.collect_list(F.struct("at", "bits"))).alias("all")).select(
-        F.col("all.bits").alias("bits")
+        .agg(F.min("left").alias("left"))
     )
 
 
 def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, hash, term, start, end): places of the terms and of few other words in all texts."""
-
-    def maybe(form: Column) -> Column:
-        at = bit(F.lower(form))
-        part = F.get("bits", F.floor(at / 32).cast("int"))
-        return F.call_function("getbit", part, (at % 32).cast("int")) == 1
+    """(doc_id, hash, term, start, end): places of the terms in all texts.
 
-    forms = rows.crossJoin(F.broadcast(filter_row(terms))).select(
-        "doc_id", "hash", "text", F.filter(words_of_text(), maybe).alias("forms")
+    The distinct words of every text meet the terms in a join, whose strategy is Catalyst's choice
+    by the size of the terms; then only texts that hold a term are searched, each for its own.
+    """
+    words = rows.select("doc_id", "hash", F.explode(words_of_text()).alias("form"))
+    mine = (
+        words.withColumn("term", F.lower("form"))
+        .join(terms.select("term"), "term", "left_semi")
+        .groupBy(F.col("doc_id").alias("at"), F.col("hash").alias("at_hash"))
+        .agg(F.collect_set("form").alias("forms"))
     )
+    same = F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("hash") == F.col("at_hash"))
     # Forms are letters only, and WORD takes whole runs of letters.
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("forms", "|"), F.lit(r")(?!\p{L})"))
     return (
-        forms.filter(F.size("forms") > 0)
+        rows.join(tables.written(mine, "forms"), same)
         .select("doc_id", "hash", F.explode(spans.matches(F.col("text"), pattern)).alias("w"))
         .select("doc_id", "hash", F.lower("w.value").alias("term"), "w.start", "w.end")
     )
@@ -222,7 +205,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
                         "start",
                         "end",
                         F.lit(KINDS[-1]).alias("kind"),
-                        (F.col("disclosure") >= REMOVES).alias("removed"),
+                        (F.col("left") <= REMOVES).alias("removed"),
                     )
                 )
             ).alias("terms")

@@ -179,8 +179,9 @@ def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("hash") == F.col("at_hash"))
     # Forms are letters only, and WORD takes whole runs of letters.
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("forms", "|"), F.lit(r")(?!\p{L})"))
+    # One plan at every size: texts meet their terms in a shuffle.
     return (
-        rows.join(tables.written(mine, "forms"), same)
+        rows.join(tables.written(mine, "forms").hint("shuffle_hash"), same)
         .select("doc_id", "hash", F.explode(spans.matches(F.col("text"), pattern)).alias("w"))
         .select("doc_id", "hash", F.lower("w.value").alias("term"), "w.start", "w.end")
     )

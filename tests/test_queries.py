@@ -21,7 +21,11 @@ def test_same_rows_as_sql(name, spark, con, sf_dir):
     assert compare.differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(STREAMS) - MODELS))
+#: These write tables first and return a plain read; running them again would show no more of their plans.
+WRITERS = {n for n, f in QUERIES.items() if f.__module__.endswith(".sinks")} - {"search_indexed", "index_terms"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(STREAMS) - MODELS - WRITERS))
 def test_plan_has_no_cross_join(name, spark, sf_dir):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -330,14 +330,27 @@ def test_no_task_gathers_the_surroundings_of_one_string(spark):
         assert found[d].n_removed == len(gone) >= 60 * (d > 0)
     same = b"s" * 15
     bytes_of = [f"{i:015d}".encode() + same * (i < 2) + f"{i:015d}".encode() * (i >= 2) + b"x" * 20 + same + f"{i:015d}"[::-1].encode() for i in range(600)]
-    around = spark.createDataFrame([(i, 30, 0, b) for i, b in enumerate(bytes_of)], substrings.AROUND)
+    around = spark.createDataFrame([(i, 7, 30, 0, b) for i, b in enumerate(bytes_of)], substrings.AROUND)
     plan = substrings.compared(around)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min(doc" in plan and "hashpartitioning(one" in plan
     # The only common window is that of the first two rows.
     most = substrings.windows(around).groupBy("one", "two").count().agg(F.max("count")).first()[0]
     assert most == 2
     found = [substrings.unpack(substrings.SPAN, r.part) for r in substrings.compared(around).collect()]
-    assert [[c.tolist() for c in x] for x in found] == [[[1], [15], [65]]]
+    assert [[c.tolist() for c in x] for x in found] == [[[1], [7], [15], [65]]]
+
+
+def test_bytes_of_rows_that_share_an_id(spark):
+    """Each text of an id is cut for itself; long texts over several pieces; null ids stay whole."""
+    rng = np.random.default_rng(5)
+    a, c, x = (bytes(rng.integers(97, 123, n).astype(np.uint8)).decode() for n in (300, 300, 900))
+    long = (x * 700)[: substrings.PIECE + 9000]
+    rows = [(1, a), (2, a + "zz"), (2, c), (2, a + "zz"), (3, c), (4, long), (5, "-" + long), (None, a), (None, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs).collect())
+    want = [(0, 300, 0, sha(a)), (0, len(long), 0, sha(long)), (1, 300, 0, sha(a)), (2, 300, 0, sha(c))]
+    want += [(2, 302, 300, sha("zz"))] * 2 + [(3, 300, 300, sha("")), (4, len(long), 0, sha(long))]
+    assert found == sorted(want + [(5, len(long) + 1, len(long), sha("-"))])
 
 
 @pytest.mark.parametrize(

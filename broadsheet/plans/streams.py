@@ -243,8 +243,7 @@ def stream_stage_state(spark, sf_dir):
     twice = F.explode(F.array_repeat(F.lit(0), 2)).alias("delivery")
     events = labelled_stream(spark, sf_dir).select("url", F.explode(stages).alias("e")).where("e.at IS NOT NULL")
     events = events.select("url", "e.stage", "e.at", twice)
-    told = progress.stage_progress(events, PATIENCE, timedelta(days=60), delay="1 hour")
-    jobs.to_files(told, f"{path}/out", f"{path}/checkpoint")
+    progress.progress_job(events, PATIENCE, timedelta(days=60), f"{path}/out", f"{path}/checkpoint", delay="1 hour")
     done = spark.read.schema(progress.EVENTS).parquet(f"{path}/out")
     return done.withColumn("at", F.col("at").cast("timestamp_ntz"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,25 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started here keep state by column family (``transformWithState``).
+
+    Spark's default store, which holds state in memory, cannot; it is set aside for RocksDB. A
+    stream takes its settings when it starts, so the session has its own again afterwards.
+    """
+    name = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.get(name)
+    if not given.endswith(".HDFSBackedStateStoreProvider"):
+        yield
+        return
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as it knows it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

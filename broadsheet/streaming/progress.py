@@ -9,17 +9,20 @@ goes when all stages were seen, or by a second timer ``forget`` after the first,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from broadsheet.schemas import STAGES
+from broadsheet.session import keyed_state
+from broadsheet.streaming import jobs
 
 EVENTS = "url string, event string, stages string, at timestamp"
 STATE = "first_ms long, seen string, reported boolean"
+Event = Row("url", "event", "stages", "at")
+LAST = datetime.max.replace(tzinfo=timezone.utc)
 
 
 class StageProgress(StatefulProcessor):
@@ -34,46 +37,50 @@ class StageProgress(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("progress", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # One time per stage is kept, whatever the number of copies.
-        least: dict[str, pd.Timestamp] = {}
-        for frame in rows:
-            for stage, at in frame[frame["stage"].isin(STAGES)].groupby("stage")["at"].min().items():
-                least[stage] = min(at, least.get(stage, at))
+        least: dict[str, datetime] = {}
+        for _, stage, at in rows:
+            if stage in STAGES and at is not None and at < least.get(stage, LAST):
+                least[stage] = at
         if not least:
             return
         times = sorted(least.items(), key=lambda x: (x[1], STAGES.index(x[0])))
-        if self.state.exists():
-            first, seen, reported = self.state.get()
+        stored = self.state.get()
+        if stored:
+            first, seen, reported = stored
             seen = seen.split(" ")
         else:
             first, seen, reported = int(times[0][1].timestamp() * 1000), [], False
-            self.handle.registerTimer(first + self.patience_ms)
-            self.handle.registerTimer(first + self.forget_ms)
         fresh = [(s, t) for s, t in times if s not in seen]
         seen = seen + [s for s, _ in fresh]
-        if set(STAGES) <= set(seen):
+        # Each call to the store is a round trip: a key whose stages all come at once needs none.
+        if not set(STAGES) <= set(seen):
+            if not stored:
+                self.handle.registerTimer(first + self.patience_ms)
+                self.handle.registerTimer(first + self.forget_ms)
+            if fresh:
+                self.state.update((first, " ".join(seen), reported))
+        elif stored:
             self.state.clear()
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-        else:
-            self.state.update((first, " ".join(seen), reported))
         event = "late stage" if reported else "stage"
-        yield pd.DataFrame({"url": key[0], "event": event, "stages": [s for s, _ in fresh], "at": [t for _, t in fresh]})
+        for stage, at in fresh:
+            yield Event(key[0], event, stage, at)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        stored = self.state.get()
+        if not stored:
             return
-        first, seen, reported = self.state.get()
+        first, seen, reported = stored
         due = expiredTimerInfo.getExpiryTimeInMs()
         if due >= first + self.forget_ms:
             self.state.clear()
         elif not reported:
             self.state.update((first, seen, True))
             missing = [s for s in STAGES if s not in seen.split(" ")]
-            yield pd.DataFrame(
-                {"url": [key[0]], "event": ["late"], "stages": [" ".join(missing)], "at": [pd.Timestamp(due, unit="ms")]}
-            )
+            yield Event(key[0], "late", " ".join(missing), datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=due))
 
     def close(self) -> None:
         pass
@@ -92,9 +99,23 @@ def stage_progress(
     if ways:
         timed = timed.withColumn("_way", F.pmod(F.xxhash64("at"), F.lit(ways)))
         timed = timed.dropDuplicatesWithinWatermark(["url", "stage", "_way"]).drop("_way")
-    return timed.groupBy("url").transformWithStateInPandas(
+    return timed.groupBy("url").transformWithState(
         statefulProcessor=StageProgress(patience, forget),
         outputStructType=EVENTS,
         outputMode="Append",
         timeMode="EventTime",
     )
+
+
+def progress_job(
+    events: DataFrame,
+    patience: timedelta,
+    forget: timedelta,
+    path: str,
+    checkpoint: str,
+    delay: str = "1 hour",
+    ways: int = 0,
+) -> None:
+    """What ``stage_progress`` tells, into files; runs in any session, whatever its state store."""
+    with keyed_state(events.sparkSession):
+        jobs.to_files(stage_progress(events, patience, forget, delay, ways), path, checkpoint)

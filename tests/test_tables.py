@@ -395,6 +395,24 @@ def test_stages_and_lateness_are_told_once_over_restarts(spark, tmp_path, ways):
     assert told == want
 
 
+def test_progress_runs_where_the_session_keeps_state_in_memory(spark, tmp_path):
+    t, name = datetime(2024, 1, 1), "spark.sql.streaming.stateStore.providerClass"
+    memory = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows = [("a", s, t) for s in ("raw", "processed", "sentiment", "summary")] + [("b", "raw", t), ("c", "raw", t + timedelta(days=1))]
+    schema = "url string, stage string, at timestamp"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    given = spark.conf.get(name)
+    spark.conf.set(name, memory)
+    try:
+        progress.progress_job(stream, timedelta(hours=6), timedelta(days=3), str(tmp_path / "out"), str(tmp_path / "cp"))
+        assert spark.conf.get(name) == memory
+    finally:
+        spark.conf.set(name, given)
+    done = spark.read.schema(progress.EVENTS).parquet(str(tmp_path / "out"))
+    assert Counter((r.url, r.event) for r in done.collect()) == {("a", "stage"): 4, ("b", "stage"): 1, ("b", "late"): 1, ("c", "stage"): 1}
+
+
 # --- trending ----------------------------------------------------------------
 
 

@@ -107,3 +107,10 @@ def test_summary_takes_best_sentences_in_order(spark, minimum, maximum):
         used += len(sentences[i].split())
         taken.append(i)
     assert got == ". ".join(sentences[i] for i in sorted(taken))
+
+
+def test_keywords_hold_few_texts_at_a_time(spark):
+    """Arrow batches hold 10,000 texts; a worker must not keep that many."""
+    df = spark.createDataFrame([("a b",)], "t string").select(X.keywords_of(F.col("t")).alias("k"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "Arrow" not in plan

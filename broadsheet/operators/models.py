@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
@@ -111,26 +110,23 @@ def unit_scores(units: Column, load: Callable[[], Scorer], unit_type: str = "str
     label, gives that row no scores and the reason. A null or empty array gives neither.
     """
 
-    @F.pandas_udf("scores array<array<double>>, error string")
-    def score_rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = load()
-        for batch in batches:
-            scores, errors = [], []
-            for row in batch:
-                found, error = None, None
-                if row is not None and len(row):
-                    try:
-                        table = np.asarray(scorer(list(row)), float)
-                        if table.shape != (len(row), len(SENTIMENT_LABELS)) or not np.isfinite(table).all():
-                            raise ValueError("not one finite score per unit and label")
-                        found = table.tolist()
-                    except Exception as problem:  # whatever an external model raises
-                        error = f"{type(problem).__name__}: {problem}"
-                scores.append(found)
-                errors.append(error)
-            yield pd.DataFrame({"scores": pd.Series(scores, dtype=object), "error": pd.Series(errors, dtype=object)})
-
-    return score_rows(units.cast(f"array<{unit_type}>"))
+    held: list[Scorer] = []
+
+    def score_row(row: list | None) -> tuple:
+        if not held:
+            held.append(load())
+        if not row:
+            return None, None
+        try:
+            table = np.asarray(held[0](row), float)
+            if table.shape != (len(row), len(SENTIMENT_LABELS)) or not np.isfinite(table).all():
+                raise ValueError("not one finite score per unit and label")
+            return table.tolist(), None
+        except Exception as problem:  # whatever an external model raises
+            return None, f"{type(problem).__name__}: {problem}"
+
+    # Plain rows: an Arrow batch of 10,000 rows, each with its list of units, fills a worker.
+    return F.udf(score_row, "scores array<array<double>>, error string", useArrow=False)(units.cast(f"array<{unit_type}>"))
 
 
 def feature_units(units: Column, features: int, tokenizer: X.Tokenizer = X.letter_tokens) -> Column:

@@ -104,3 +104,14 @@ def test_corpus_weights(spark, tmp_path):
     made = df.sparkSession.createDataFrame([(text, [])], "content string, keywords array<string>")
     summary = enrich.extractive_summary(F.col("content"), F.col("keywords"), 3, 4, score=score)
     assert made.select(summary).first()[0] == "rare rare rare"
+
+
+def test_scores_hold_few_rows_at_a_time(spark):
+    def one(units):
+        return [[1.0, 0.0, 0.0] for _ in units]
+
+    rows = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "units array<string>")
+    scored = rows.select(models.unit_scores(F.col("units"), lambda: one).alias("s"))
+    assert [r.s.scores for r in scored.collect()] == [[[1.0, 0.0, 0.0]] * 2, None, None]
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "Arrow" not in plan

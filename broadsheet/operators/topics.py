@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions import text as X
+
 LEAST_SHARE = 0.01
 STEPS = 300
 DIGITS = 12
@@ -53,9 +55,11 @@ def cooccurrence(df: DataFrame, terms: list[str]) -> DataFrame:
     Pairs are made within a row's few keywords, and counted with map-side combine.
     """
     known = F.array_sort(F.filter(F.array_distinct("keywords"), lambda k: k.isin(terms)))
-    pairs = F.flatten(
-        F.transform(known, lambda a, i: F.transform(F.slice(known, i + 2, F.size(known)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
-    )
+
+    def pairs_of(ks: Column) -> Column:
+        return F.transform(ks, lambda a, i: F.transform(F.slice(ks, i + 2, F.size(ks)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+
+    pairs = F.flatten(X.let(known, pairs_of))
     return df.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
 
 

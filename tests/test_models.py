@@ -115,3 +115,10 @@ def test_scores_hold_few_rows_at_a_time(spark):
     assert [r.s.scores for r in scored.collect()] == [[[1.0, 0.0, 0.0]] * 2, None, None]
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" in plan and "Arrow" not in plan
+
+
+def test_pairs_sort_a_row_s_terms_once(spark):
+    rows = spark.createDataFrame([(["b", "a", "c", "a", "x"],), (["c", "a"],), (None,), ([],)], "keywords array<string>")
+    pairs = topics.cooccurrence(rows, ["a", "b", "c"])
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == {("a", "b"): 1, ("a", "c"): 2, ("b", "c"): 1}
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") == 1

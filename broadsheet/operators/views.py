@@ -51,11 +51,14 @@ def apply_batch(
 
     The signed counts are written first, from the table as it was before the batch; the table's
     commit with the batch's mark comes last. A batch that died in between is counted again from the
-    same state and replaces its folders; one that the mark covers changes nothing.
+    same state and replaces its folders; one that the mark covers changes nothing. The batch's
+    newest rows are computed once and stored until the commit: counts and table all read them.
     """
     if table.exists() and table.mark() >= batch_id:
         return
-    newest = store.latest_per_key(incoming, table.key, order)
+    staged = f"{path}/incoming/batch_id={batch_id}"
+    store.latest_per_key(incoming, table.key, order).write.mode("overwrite").parquet(staged)
+    newest = incoming.sparkSession.read.schema(incoming.schema).parquet(staged)
     if table.exists():
         before = table.read().join(newest.select(table.key), table.key, "left_semi")
     else:
@@ -67,6 +70,8 @@ def apply_batch(
         table.upsert(newest, order, mark=batch_id)
     else:
         table.create(newest.drop(order), mark=batch_id)
+    fs, done = file_system(incoming.sparkSession, staged)
+    fs.delete(done, True)
 
 
 def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:

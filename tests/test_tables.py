@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from broadsheet.functions import sentiment as S
+from broadsheet.functions import text as X
 from broadsheet.operators import index, ledger, search, sink, store, trends, views
 from broadsheet.plans import sinks
 from broadsheet.plans import sqlparts as Q
@@ -365,6 +367,29 @@ def test_index_of_nothing(spark, articles, tmp_path):
     assert index.find(spark, str(tmp_path), search.SearchRequest(query="a"), buckets=4).count() == 0
 
 
+# --- a batch is computed once ---------------------------------------------------
+
+
+def test_a_batch_is_computed_once_for_table_and_views(spark, tmp_path):
+    rows = [(f"u{i}", "it", datetime(2024, 1, 1, i), ["a", "b"], 1) for i in range(8)]
+    batch = spark.createDataFrame(rows, "url string, category string, published_at timestamp_ntz, keywords array<string>, ingest_seq int")
+    batch = batch.withColumns({"processed_at": F.col("published_at"), "sentiment_analysis": S.analysis(S.one_hot(F.lit("neutral")))})
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(words):
+        calls.add(1)
+        return words
+
+    batch = X.compute_once(batch, "keywords", F.udf(counted, "array<string>")(F.col("keywords")))
+    table = KeyedTable(spark, str(tmp_path / "table"))
+    for number in range(2):
+        views.apply_batch(table, batch, "ingest_seq", number, str(tmp_path))
+    assert calls.value == 2 * len(rows)
+    assert not any((tmp_path / "incoming").iterdir())
+    assert table.read().count() == len(rows)
+    assert {r.keyword: r.n for r in views.counts(spark, str(tmp_path), "keywords").groupBy("keyword").agg(F.sum("n").alias("n")).collect()} == {"a": 8, "b": 8}
+
+
 # --- state per article -----------------------------------------------------------
 
 

@@ -37,6 +37,8 @@ WARM_EPOCHS = 12
 EPOCHS = 50
 RATE = 0.5
 KEPT_WORDS = 250_000
+#: Words whose n-grams are made at once.
+PART = 20_000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -67,6 +69,17 @@ def grams(chosen: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(who), (np.concatenate(what) >> np.uint64(64 - 17)).astype(np.int64)
 
 
+def grams_by_word(chosen: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams, word after word, and how many each word has."""
+    buckets, counts = [], []
+    for lo in range(0, len(chosen), PART):
+        part = chosen[lo : lo + PART]
+        who, what = grams(part)
+        buckets.append(what[np.argsort(who, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(who, minlength=len(part)))
+    return np.concatenate(buckets), np.concatenate(counts)
+
+
 def word_scores(table: np.ndarray, chosen: list[str]) -> np.ndarray:
     who, what = grams(chosen)
     total = np.bincount(who, weights=table[what], minlength=len(chosen))
@@ -90,8 +103,8 @@ class Model:
         if len(known) > KEPT_WORDS:
             known.clear()
         new = list({w for text in texts for w in text if w not in known})
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+        for lo in range(0, len(new), PART):
+            part = new[lo : lo + PART]
             known.update(zip(part, word_scores(self.table, part).tolist(), strict=True))
         out = np.zeros(len(texts))
         for i, text in enumerate(texts):
@@ -102,18 +115,19 @@ class Model:
 
 
 def train(texts: list[str], labels: np.ndarray) -> Model:
-    split_texts = [split(t) for t in texts]
-    usable = [i for i, t in enumerate(split_texts) if t]
+    # One text's words are held at a time, and n-grams are made for a part of the words at a time:
+    # all words of the sample as strings would take several times the room of the sample.
+    ids: dict[str, int] = {}
+    coded, usable = [], []
+    for i, text in enumerate(texts):
+        if found := split(text):
+            coded.append(np.array([ids.setdefault(w, len(ids)) for w in found], np.int32))
+            usable.append(i)
     labels = np.asarray(labels)[usable].astype(np.int64)
-    split_texts = [split_texts[i] for i in usable]
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(BUCKETS, np.float64), -40.0)
-    ids: dict[str, int] = {}
-    coded = [np.array([ids.setdefault(w, len(ids)) for w in t]) for t in split_texts]
-    who, what = grams(list(ids))
-    order = np.argsort(who, kind="stable")
-    what = what[order].astype(np.int32)
-    counts = np.bincount(who, minlength=len(ids))
+    what, counts = grams_by_word(list(ids))
+    del ids
     firsts = np.cumsum(counts) - counts
     rng = np.random.default_rng(7)
     emb = rng.normal(0, 0.1, (BUCKETS, WIDTH))

@@ -447,3 +447,23 @@ def test_words_equal_python_splitting():
     flat = [w for ws in want for w in ws]
     assert [data[a:b].tobytes() for a, b in zip(found.starts, found.ends, strict=True)] == flat
     assert len(set(found.hashes(lower=True).tolist())) == len({w.lower() for w in flat})
+
+
+def test_toxicity_grams_of_parts_are_those_of_all_words(monkeypatch):
+    chosen = ["a", "word", "überlang", "x1", "noch", "einer"]
+    who, what = toxicity.grams(chosen)
+    whole = what[np.argsort(who, kind="stable")]
+    monkeypatch.setattr(toxicity, "PART", 2)
+    found, counts = toxicity.grams_by_word(chosen)
+    assert found.tolist() == whole.tolist() and counts.tolist() == np.bincount(who).tolist()
+
+
+def test_toxicity_training_holds_little_more_than_its_sample():
+    import tracemalloc
+
+    texts = [" ".join(f"w{(i * 7 + j) % 5000}" for j in range(2000)) for i in range(60)]
+    tracemalloc.start()
+    toxicity.train(texts, np.arange(60) % 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 26e6, peak

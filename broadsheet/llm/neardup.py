@@ -5,10 +5,12 @@ Every set of shingles gets a MinHash signature. A document is posted under each
 agree in 51 of 64 coordinates on average and in fewer than ``AGREE`` = 34 with a probability
 of about 3e-7, so documents that meet in at least 34 are the candidates.
 
-* Coordinate values that only one document has are no use and go first. Of the rest each
-  document posts its rarest ``shared - AGREE + 1`` only (prefix filter): two documents that
-  agree in 34 coordinates still meet in one of these, and postings that half the corpus
-  shares are mostly never made.
+* Coordinate values that no other document of a similar size has are no use and go first: sets
+  whose sizes differ by more than the share cannot be linked. Of the rest each document posts its
+  rarest ``shared - AGREE + 1`` only (prefix filter): two documents that agree in 34 coordinates
+  still meet in one of these, and postings that half the corpus shares are mostly never made.
+  Posts that then meet no other of a similar size go as well; only texts of documents that still
+  have a post are read again.
 * Documents that share a long passage meet in about as many coordinates as true near-duplicates.
   Those with postings therefore get 4,096 further coordinates, of which one bit each is kept.
   A link agrees in 3,686 of these bits on average. Pairs are counted over the first 256 bits
@@ -29,6 +31,7 @@ have no component. An id that several rows carry links through any of them.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -47,6 +50,9 @@ WORDS, LEADING = 64, 4
 LEADING_AGREE, BITS_AGREE = 204, 3576
 #: Coordinates made from one 32-bit value of a shingle.
 FAMILY = 128
+#: Set sizes are told apart in classes, of which a factor of 1 / share spans ``STEPS``; they come
+#: round after ``CLASSES``, one bit each of a long.
+STEPS, CLASSES = 4, 64
 #: Stars are only repeated while postings would yield more pairs than this many times themselves.
 PAIRS_PER_POSTING = 1
 MOST_STARS = 2
@@ -137,19 +143,49 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def prefixes(nodes: DataFrame) -> DataFrame:
-    """(key, id): each node under its rarest shared coordinate values."""
-    posts = nodes.select("id", F.posexplode("sign").alias("at", "value")).select(
-        "id", (F.col("at").cast("long") * (1 << 32) + F.col("value")).alias("key")
+def size_class(percent: int):
+    """Sizes n of which one is at least ``percent`` of the other are at most ``STEPS`` classes apart.
+
+    Classes a little too wide only keep more.
+    """
+    factor = 100 / min(max(percent, 1), 99)
+    step = math.log(factor) / STEPS * (1 + 1e-9)
+    return F.pmod(F.floor(F.ln("n") / step), F.lit(CLASSES)).cast("int")
+
+
+def met(posts: DataFrame) -> DataFrame:
+    """The posts (key, id, size) whose key has another of a similar size, and the key's number of posts.
+
+    A key has one bit for each class of size; more posts than bits mean that some class has
+    several, and then all its posts stay.
+    """
+    keys = (
+        posts.groupBy("key")
+        .agg(F.count("*").alias("members"), F.bit_or(F.expr("shiftleft(1L, size)")).alias("sizes"))
+        .filter("members > 1")
     )
-    shared = posts.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    apart = [*range(1, STEPS + 1), *range(CLASSES - STEPS, CLASSES)]
+    near = " | ".join(f"shiftleft(1L, (size + {k}) % {CLASSES})" for k in apart)
     return (
-        posts.join(shared, "key")
-        .groupBy("id")
+        posts.join(keys, "key")
+        .filter(f"members > bit_count(sizes) OR (sizes & ({near})) != 0")
+        .select("key", "id", "size", "members")
+    )
+
+
+def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+    """(key, id, size): each node (id, n, sign) under its rarest shared coordinate values."""
+    posts = nodes.select(
+        "id", size_class(percent).alias("size"), F.posexplode("sign").alias("at", "value")
+    ).select("id", "size", (F.col("at").cast("long") * (1 << 32) + F.col("value")).alias("key"))
+    rarest = F.slice("posts", F.lit(1), F.size("posts") - AGREE + 1).key
+    return (
+        met(posts)
+        .groupBy("id", "size")
         .agg(F.sort_array(F.collect_list(F.struct("members", "key"))).alias("posts"))
         .filter(F.size("posts") >= AGREE)
-        .select("id", F.explode(F.slice("posts", F.lit(1), F.size("posts") - AGREE + 1).key).alias("key"))
-        .select("key", "id")
+        .select("id", "size", F.explode(rarest).alias("key"))
+        .select("key", "id", "size")
     )
 
 
@@ -359,7 +395,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         ),
         "nodes",
     )
-    posts = tables.written(prefixes(nodes.select("id", "sign")), "postings")
+    posts = tables.written(prefixes(nodes.select("id", "n", "sign"), percent), "prefixes")
+    posts = tables.written(met(posts).select("key", "id").distinct(), "postings")
     active = posts.select("id").distinct()
     texts = tables.written(
         docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
@@ -373,14 +410,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labels = sketched.select("id", F.col("id").alias("comp")).distinct()
     links, turn = None, 0
     while True:
-        now = posts.join(labels, "id")
+        if turn == 0:
+            now = posts.withColumn("comp", F.col("id"))
+        else:
+            now = tables.written(posts.join(labels, "id"), "members")
         out = tables.written(strays(now), "strays") if turn else None
         total = out.agg(F.sum("total").alias("pairs")).first().pairs or 0 if turn else 0
         last = turn > 0 and (turn >= MOST_STARS or total <= PAIRS_PER_POSTING * posts.count())
         if not last:
             pairs = agreeing(star_pairs(now, turn, share), sketched)
         elif total:
-            pairs = stray_pairs(tables.written(now, "members"), out, sketched, share)
+            pairs = stray_pairs(now, out, sketched, share)
         else:
             break
         new = tables.written(

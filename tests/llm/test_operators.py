@@ -103,6 +103,30 @@ def test_near_duplicates(docs, texts, empty, width):
     assert neardup.near_duplicates(empty, width).collect() == []
 
 
+def test_posts_need_another_of_similar_size(spark):
+    """Sets that share half of the coordinates but differ in size are not read again."""
+
+    def kept(sizes, percent=80):
+        rows = [(at, n, [*range(40), *range(100 * at, 100 * at + 24)]) for at, n in enumerate(sizes, 1)]
+        nodes = spark.createDataFrame(rows, "id long, n long, sign array<int>")
+        posts = neardup.met(neardup.prefixes(nodes, percent))
+        return {r.id for r in posts.select("id").distinct().collect()}
+
+    assert kept([10, 100, 1000]) == set()
+    assert kept([80, 100, 1000]) == {1, 2}
+    assert kept([1000, 80, 100, 10, 1000]) >= {1, 2, 3, 5}
+    assert kept([7, 7]) == {1, 2}
+    assert kept([7, 7, 7, 900, 5000]) >= {1, 2, 3}
+    # classes come round after 64 bits, and no size may lose its mate there
+    sizes = [*range(5, 200), *range(1000, 4_000_000, 49_999), 2**40]
+    pairs = [(n, (n * 80 + 99) // 100) for n in sizes]
+    rows = spark.createDataFrame([(n,) for pair in pairs for n in pair], "n long")
+    at = {r.n: r.size for r in rows.select("n", neardup.size_class(80).alias("size")).collect()}
+    for n, m in pairs:
+        assert min((at[n] - at[m]) % neardup.CLASSES, (at[m] - at[n]) % neardup.CLASSES) <= neardup.STEPS
+    assert kept([50, 50], percent=100) == {1, 2}
+
+
 def test_components_of_a_chain(spark):
     from broadsheet.llm import tables
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.session import fresh_path
+from broadsheet.session import file_system, fresh_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +23,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is planned and run here drops its shuffle files when it ends; otherwise they stay until
+    the driver happens to collect its garbage. Only for frames that are run once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    given = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
+def stored(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """As ``written``, with a folder for each value of ``by``, and the path. Its shuffles go at once."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    with shuffles_dropped(spark):
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Drop a table that nothing reads any more."""
+    files, at = file_system(spark, path)
+    files.delete(at, True)
+
+
 def components(edges: DataFrame, start: DataFrame) -> DataFrame:
     """Smallest reachable label of each node.
 
